@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("etl",)
+MODULES = ("etl", "replies")
 
 
 def all_checks() -> dict:

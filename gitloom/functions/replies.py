@@ -37,7 +37,9 @@ def close_json(text: Column) -> Column:
 def recover_value(reply: Column, key: str) -> Column:
     """Struct ``value, method, error``: the first of four readings that yields ``key``."""
     unfenced = unfence(reply)
-    pattern = '(?s)"' + re.escape(key) + r'"\s*:\s*"((?:[^"\\]|\\.)*)'
+    # Possessive (``*+``): the same match, but Java walks it without recursion, so a
+    # value of any length is safe.
+    pattern = '(?s)"' + re.escape(key) + r'"\s*:\s*"((?:[^"\\]|\\.)*+)'
     scanned = F.regexp_extract(reply, pattern, 1)
     for escaped, plain in ((r"\"", '"'), (r"\n", "\n"), ("\\\\", "\\")):
         scanned = F.replace(scanned, F.lit(escaped), F.lit(plain))

@@ -29,7 +29,7 @@ NO_CHANGES = "No file changes to summarize."
 # Reduction levels before a commit whose summaries do not shrink is failed.
 MAX_LEVELS = 12
 
-COMMIT_KEYS = ("repo_id", "commit_hash")
+COMMIT_KEYS = ["repo_id", "commit_hash"]
 
 
 def commit_attributes(file_diffs: DataFrame) -> DataFrame:
