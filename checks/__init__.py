@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("etl", "replies")
+MODULES = ("etl", "replies", "collection")
 
 
 def all_checks() -> dict:
