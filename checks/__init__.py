@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("etl", "replies", "collection")
+MODULES = ("etl", "replies", "collection", "categories")
 
 
 def all_checks() -> dict:
