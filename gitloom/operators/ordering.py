@@ -65,3 +65,42 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.groupBy(*keys).agg(picked).select(
         *[f"__row.{c}" if c in rest else c for c in df.columns]
     )
+
+
+def preceding_marked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], mark: Column, value: Column, out: str
+) -> DataFrame:
+    """Add ``value`` of the nearest earlier row of the key that satisfies ``mark`` (or null).
+
+    Works like :func:`ordered_prefix`: rows look inside their own range partition, and
+    the last marked value of each partition is handed on to the partitions after it.
+    """
+    part = "__part"
+    ranged = cut(
+        df.withColumn("__value", F.when(mark, value))
+        .repartitionByRange(*keys, *order)
+        .withColumn(part, F.spark_partition_id()),
+        "ranged",
+    )
+    within = Window.partitionBy(*keys, part).orderBy(*order)
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        ranged.where(F.col("__value").isNotNull())
+        .groupBy(*keys, part)
+        .agg(F.max_by("__value", F.struct(*order)).alias("__last"))
+    )
+    # Every (key, partition) needs a row to receive what earlier partitions hand on.
+    starts = (
+        ranged.select(*keys, part)
+        .distinct()
+        .join(carried, [*keys, part], "left")
+        .select(*keys, part, F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
+    )
+    return (
+        ranged.join(starts, [*keys, part])
+        .withColumn(
+            out, F.coalesce(F.last("__value", ignorenulls=True).over(before), F.col("__carry"))
+        )
+        .drop(part, "__value", "__carry")
+    )
