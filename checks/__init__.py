@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("etl", "replies", "collection", "categories")
+MODULES = ("etl", "replies", "collection", "categories", "density")
 
 
 def all_checks() -> dict:
