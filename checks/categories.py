@@ -201,8 +201,14 @@ def stages(spark, sf):
 
 
 def batch_numbers(spark, sf):
-    vectors = c.table(spark, sf, "embeddings").selectExpr("cast(vec_id as string) as id", "embedding")
-    return bt.kmeans_batches(vectors)
+    """Every vector has a batch, and the number of batches is the wanted one."""
+    vectors = c.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    batches = bt.kmeans_batches(vectors)
+    return vectors.select("id").join(batches, "id", "left").select(
+        "id",
+        F.col("batch").isNotNull().alias("has_batch"),
+        batches.select(F.count_distinct("batch")).scalar().alias("n_batches"),
+    )
 
 
 def batch_k(spark, sf):
@@ -419,7 +425,11 @@ CHECKS = {
         stages,
         "select 'first' as built, count(*) as n from documents union all select 'third', count(*) from documents",
     ),
-    "v04_kmeans_batches": (batch_numbers, None),
+    "v04_kmeans_batches": (
+        batch_numbers,
+        "select vec_id as id, true as has_batch, (select greatest(1, cast(ceil(count(*) / 20.0) as bigint)) "
+        "from embeddings) as n_batches from embeddings",
+    ),
     "v04_batch_count": (batch_k, "select greatest(1, cast(ceil(count(*) / 20.0) as bigint)) as k from embeddings"),
     "p24_bigrams": (
         bigram_rows,
