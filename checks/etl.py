@@ -34,7 +34,7 @@ def pr_pages(spark, sf):
         ).alias("item"),
     )
     pages = page_rows.groupBy("repo_id", "page").agg(
-        F.to_json(F.array_sort(F.collect_list("item")), {"ignoreNullFields": "false"}).alias("value")
+        F.to_json(F.sort_array(F.collect_list("item")), {"ignoreNullFields": "false"}).alias("value")
     )
     pages.write.partitionBy("repo_id", "page").text(path)
     return dumps.read_pr_pages(spark, path, whole_file=False).select(

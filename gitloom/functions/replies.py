@@ -28,7 +28,7 @@ def unfence(reply: Column) -> Column:
 def close_json(text: Column) -> Column:
     """Close an open string and the object of a reply that stops early."""
     bare = F.regexp_replace(rstrip(text), r"(?s)\\.", "")
-    quotes = F.length(F.regexp_replace(bare, '[^"]', ""))
+    quotes = F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))
     return F.when(F.endswith(rstrip(text), F.lit("}")), rstrip(text)).otherwise(
         F.concat(rstrip(text), F.when(quotes % 2 == 1, '"').otherwise(""), F.lit("}"))
     )
@@ -49,16 +49,35 @@ def recover_value(reply: Column, key: str) -> Column:
         ("repaired", _json_string(close_json(unfenced), key)),
         ("regex", F.when(reply.rlike(pattern), scanned)),
     ]
-    value = F.coalesce(*[column for _, column in readings])
-    method = F.coalesce(*[F.when(column.isNotNull(), name) for name, column in readings])
-    error = F.when(
-        value.isNull(),
+    nothing = F.struct(
+        F.lit(None).cast("string").alias("value"),
+        F.lit(None).cast("string").alias("method"),
         F.concat(
             F.lit(f"Could not extract key '{key}' from reply: "),
             F.left(F.coalesce(reply, F.lit("")), F.lit(ERROR_PREVIEW)),
-        ),
+        ).alias("error"),
     )
-    return F.struct(value.alias("value"), method.alias("method"), error.alias("error"))
+    return F.coalesce(*[_found(column, name) for name, column in readings], nothing)
+
+
+def _found(value: Column, method: str) -> Column:
+    """The result struct of one reading, null when it yields nothing.
+
+    Passing the value through a one-element array computes it once, although it is
+    both tested and returned.
+    """
+
+    def wrap(v: Column) -> Column:
+        return F.when(
+            v.isNotNull(),
+            F.struct(
+                v.alias("value"),
+                F.lit(method).alias("method"),
+                F.lit(None).cast("string").alias("error"),
+            ),
+        )
+
+    return F.element_at(F.transform(F.array(value), wrap), F.lit(1))
 
 
 def read_reply(reply: Column, key: str) -> Column:

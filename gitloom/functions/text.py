@@ -21,7 +21,7 @@ DIFF_METADATA = (
     "deleted file mode",
 )
 COMMIT_HASH_TOKEN = r"(?iU)\b[0-9a-f]{7,40}\b"
-WORD_TOKEN = r"(?U)\b\w\w+\b"
+WORD_TOKEN = r"(?U)\w{2,}"  # the maximal runs of two or more word characters
 TRUNCATION_MARK = "\n\n[... DIFF TRUNCATED ...]"
 BLANK_WORDS = ("nan", "none")
 # --- end of fixed values ---
@@ -111,13 +111,26 @@ def short_hash(commit_hash: Column) -> Column:
     return F.left(commit_hash, F.lit(8))
 
 
-def bigrams(text: Column) -> Column:
-    """Sorted set of adjacent word pairs; empty for null and one-word texts."""
+def bigram_set(text: Column) -> Column:
+    """Distinct adjacent word pairs in order of appearance; empty for null and one-word texts."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(WORD_TOKEN), F.lit(0))
-    # zip of the list with itself shifted by one is linear in the text.
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.coalesce(F.array_sort(F.array_distinct(pairs)), F.array().cast("array<string>"))
+
+    def pairs(words: Column) -> Column:
+        # The list zipped with itself shifted by one: linear in the text.
+        n = F.greatest(F.size(words) - 1, F.lit(0))
+        return F.array_distinct(
+            F.zip_with(
+                F.slice(words, F.lit(1), n),
+                F.slice(words, F.lit(2), n),
+                lambda a, b: F.concat(a, F.lit(" "), b),
+            )
+        )
+
+    # The token list is used several times: a one-element array computes it once.
+    found = F.element_at(F.transform(F.array(tokens), pairs), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def bigrams(text: Column) -> Column:
+    """:func:`bigram_set`, sorted."""
+    return F.sort_array(bigram_set(text))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gitloom.functions.text import bigrams
+from gitloom.functions.text import bigram_set, bigrams
 from gitloom.functions.vectors import set_cosine_distance, set_euclidean_distance
 from gitloom.operators.ordering import keep_first
 
@@ -23,7 +23,7 @@ def with_bigrams(df: DataFrame, text_col: str = "semantic_summary") -> DataFrame
 
 def bigram_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Sparse 0/1 encoding in long form: one row per (id, bigram)."""
-    return df.select(id_col, F.explode(bigrams(F.col(text_col))).alias("bigram"))
+    return df.select(id_col, F.explode(bigram_set(F.col(text_col))).alias("bigram"))
 
 
 def run_pairs(runs: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -34,7 +34,9 @@ def run_pairs(runs: DataFrame, order: Sequence[str]) -> DataFrame:
     the equi-join stays small however often a commit was written.
     """
     first = keep_first(runs, ["commit_hash", "source_file"], order)
-    sets = with_bigrams(first).select("commit_hash", "source_file", "bigrams")
+    sets = first.select(
+        "commit_hash", "source_file", bigram_set(F.col("semantic_summary")).alias("bigrams")
+    )
     left = sets.select("commit_hash", F.col("source_file").alias("source_1"), F.col("bigrams").alias("b1"))
     right = sets.select("commit_hash", F.col("source_file").alias("source_2"), F.col("bigrams").alias("b2"))
     shared = F.size(F.array_intersect("b1", "b2"))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gitloom.functions.text import bigrams
+from gitloom.functions.text import bigram_set
 from gitloom.operators.disagreement import TOP_PAIRS
 from gitloom.operators.neighbours import small_arrow_batches
 from gitloom.operators.ordering import ordered_prefix
@@ -85,7 +85,7 @@ def far_pairs(
     spark = df.sparkSession
     sets = df.select(
         F.col(id_col).cast("long").alias("id"),
-        F.transform(bigrams(F.col(text_col)), lambda b: F.xxhash64(b)).alias("codes"),
+        F.transform(bigram_set(F.col(text_col)), lambda b: F.xxhash64(b)).alias("codes"),
     ).withColumn("size", F.size("codes"))
     # Euclidean distance grows with the sets: put the largest texts together and first.
     sets = sets.withColumn("lead", F.lit(0) if metric == "cosine" else -F.col("size"))
@@ -97,7 +97,7 @@ def far_pairs(
     blocks = cut(
         ranked.withColumn("blk", block)
         .groupBy("blk")
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "id", "size", "codes"))).alias("r"))
+        .agg(F.sort_array(F.collect_list(F.struct("rn", "id", "size", "codes"))).alias("r"))
         .select(
             "blk", F.col("r.id").alias("ids"), F.col("r.size").alias("sizes"),
             F.flatten("r.codes").alias("codes"), F.array_max("r.size").alias("largest"),

@@ -57,7 +57,7 @@ def pack_lines(
 
 def _pack_arrays(lines: DataFrame, keys: list[str], limit: int) -> DataFrame:
     grouped = lines.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("__ord", "__line", "__len"))).alias("__rows"),
+        F.sort_array(F.collect_list(F.struct("__ord", "__line", "__len"))).alias("__rows"),
         F.sum("__len").alias("__chars"),
     )
     # The fold carries only start positions; each chunk's text is sliced once.
@@ -181,7 +181,7 @@ def _pack_distributed(
         .groupBy(*keys, "chunk_no", "fits")
         .agg(
             F.count("*").alias("n_lines"),
-            F.array_sort(F.collect_list(F.struct("__rn", "__line"))).alias("__rows"),
+            F.sort_array(F.collect_list(F.struct("__rn", "__line"))).alias("__rows"),
         )
         .select(
             *keys,

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from gitloom.sources.paths import path_exists
 
-# Bytes of text per written file; many small files hurt every later scan.
+# Upper bound on the rows of one file, so that a large partition is many files.
 ROWS_PER_FILE = 1_000_000
 
 
@@ -72,6 +72,8 @@ def write_by_category(df: DataFrame, path: str) -> None:
         df.where(F.col("category").isNotNull())
         .withColumn("category_dir", F.replace("category", F.lit("/"), F.lit("_")))
         .write.mode("overwrite")
+        # A rerun may move commits to other categories: old folders must go.
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy("category_dir")
         .parquet(path)
