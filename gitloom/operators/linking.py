@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gitloom.functions.text import commit_hash_tokens, pr_search_text
+from gitloom.session import cut
 
 # Every token has at least this many digits, so an equi-join on the prefix loses nothing.
 PREFIX = 7
@@ -49,11 +50,16 @@ def first_pr_per_commit(commits: DataFrame, prs: DataFrame) -> DataFrame:
 
 
 def with_pull_request(commits: DataFrame, prs: DataFrame) -> DataFrame:
-    """Left-outer enrichment: ``pr_message`` and ``pr_id`` are null when nothing matches."""
+    """Left-outer enrichment: ``pr_message`` and ``pr_id`` are null when nothing matches.
+
+    The link table is written first, so Spark plans the last join with its true size:
+    below the broadcast threshold the diff texts are not shuffled at all.
+    """
     bodies = prs.select("repo_id", "pr_ord", "pr_id", F.col("body").alias("pr_message"))
-    linked = (
+    linked = cut(
         first_pr_per_commit(commits, prs)
         .join(bodies, ["repo_id", "pr_ord", "pr_id"])
-        .select("repo_id", "commit_hash", "pr_message", "pr_id")
+        .select("repo_id", "commit_hash", "pr_message", "pr_id"),
+        "links",
     )
     return commits.join(linked, ["repo_id", "commit_hash"], "left")

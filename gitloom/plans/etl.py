@@ -13,11 +13,11 @@ from gitloom.sources.tables import write_by_repo
 
 
 def build_file_diffs(commits: DataFrame, prs: DataFrame, drop_preamble: bool = False) -> DataFrame:
-    """The whole transformation as one plan; no Python workers.
+    """The whole transformation; no Python workers.
 
     Only hashes and ids take part in the link; the diff texts move once at most, in
-    the final left join, and not at all when the link table is small enough for
-    Spark to broadcast it.
+    the final left join, and not at all when the stored link table is small enough
+    for Spark to broadcast it.
     """
     commits, _ = normalise_commits(commits)
     prs, _ = normalise_prs(prs)
