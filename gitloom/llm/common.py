@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,7 @@ def small_batches(
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
         group = np.cumsum(sizes) // limit
         starts = np.flatnonzero(np.diff(group, prepend=-1))
         for lo, hi in zip(starts, [*starts[1:], batch.num_rows], strict=True):

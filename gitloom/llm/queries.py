@@ -6,11 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitloom.llm import bpe, decontamination, sharding
+from gitloom.llm import (
+    bpe,
+    decontamination,
+    line_dedup,
+    minhash,
+    quality_rules,
+    sharding,
+    url_filter,
+    warc,
+)
 from gitloom.llm.common import table
+from gitloom.llm.url_filter import UrlRule
+from gitloom.session import cut, scratch_path
 
 SHARDS = 40
 RANK_FILE = "byte_bpe_50k.tiktoken"
+MIN_LINE_DOCS, MIN_LINE_CHARS = 10, 1
+NEAR_PERCENT = 85
+URL_RULES = (
+    UrlRule("com", "/", "allow"),
+    UrlRule("example.com", "/en/", "block"),
+    UrlRule("www.example.com", "/en/", "allow"),
+    UrlRule("net", "/es/", "block"),
+    UrlRule("net", "/fr/", "block"),
+)
+#: Pages of hosts that this finds make the list of urls to block.
+SPAM_HOST = r"://[^/?#]*\bspam\b"
 
 
 def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,10 +59,50 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_frequent_lines(docs, MIN_LINE_DOCS, MIN_LINE_CHARS)
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = minhash.near_duplicates(table(spark, sf_dir, "documents"), NEAR_PERCENT)
+    return marked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    measured = [F.col(f"quality.{c}").alias(c) for c in counts]
+    return quality_rules.judge(docs).select("doc_id", *measured, "base_failed", "kept")
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = cut(warc.read_archives(spark, path, payloads=False), "records")
+    return warc.resolve_revisits(found).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(F.col("url").rlike(SPAM_HOST)).select("url")
+    judged = url_filter.judge_urls(pages, listed, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_jump_shards": op1_jump_shards,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_minhash": op3_minhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_warc_revisits": op8_warc_revisits,
     "op9_decontamination": op9_decontamination,
+    "op10_url_filter": op10_url_filter,
 }
 
 # --- DuckDB SQL ------------------------------------------------------------------
@@ -128,4 +190,165 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from words left join covered using (r) left join named using (r)
 """
 
-SQL = {"op1_jump_shards": _OP1, "op9_decontamination": _OP9}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP2 = f"""
+with docs as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as lines
+  from documents
+),
+parts as (
+  select r, i, lines[i] as line, translate(trim(lines[i], {_SPACES}), {_LOWER}) as key
+  from (select r, lines, unnest(range(1, len(lines) + 1)) as i from docs)
+),
+frequent as (
+  select key from parts where length(key) >= {MIN_LINE_CHARS}
+  group by key having count(distinct r) >= {MIN_LINE_DOCS}
+),
+kept as (
+  select r, count(*) as n_kept, string_agg(line, chr(10) order by i) as text
+  from parts where key not in (select key from frequent) group by r
+)
+select doc_id, len(lines) as n_lines, len(lines) - coalesce(n_kept, 0) as n_dropped,
+  sha256(coalesce(k.text, '')) as kept_sha256
+from docs left join kept k using (r)
+"""
+
+_OP3 = f"""
+with recursive words as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select distinct r, array_to_string(w[i:i + {minhash.SHINGLE_WORDS - 1}], ' ') as s
+  from (select r, w,
+      unnest(range(1, greatest(len(w) - {minhash.SHINGLE_WORDS - 1}, 1) + 1)) as i
+    from words where len(w) > 0)
+),
+sizes as (select r, count(*) as n from sets group by r),
+links as (
+  select c.a, c.b
+  from (select x.r as a, y.r as b, count(*) as both_ from sets x join sets y on x.s = y.s and x.r <> y.r
+        group by x.r, y.r) c
+  join sizes p on p.r = c.a join sizes q on q.r = c.b
+  where 100 * both_ >= {NEAR_PERCENT} * (p.n + q.n - both_)
+),
+reach as (
+  select r, r as other from words
+  union
+  select reach.r, links.b from reach join links on links.a = reach.other
+),
+named as (
+  select reach.r, min(w.doc_id) as component_id from reach join words w on w.r = reach.other
+  group by reach.r
+)
+select w.doc_id, coalesce(n, 0) as n_shingles, component_id,
+  w.doc_id is not distinct from component_id as kept
+from words w left join sizes using (r) join named on named.r = w.r
+"""
+
+
+def _rule_sql(rule: quality_rules.Rule) -> str:
+    share = f"{rule.share} * {rule.scale}"
+    bounds = [f"{share} < {rule.of} * {rule.low}"] if rule.low is not None else []
+    bounds += [f"{share} > {rule.of} * {rule.high}"] if rule.high is not None else []
+    return f"(n_words >= {rule.from_words} and ({' or '.join(bounds)}))"
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted({w for line in quality_rules.STOP_WORDS for w in line.split()}))
+
+_OP6 = f"""
+with docs as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+),
+split as (
+  select r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(text, chr(10)), lambda x: trim(x, {_SPACES}) <> '') as lines
+  from docs
+),
+windows as (
+  select r, i, array_to_string(w[i:i + 7], ' ') as win
+  from (select r, w, unnest(range(1, len(w) - 6)) as i from split where len(w) >= 8)
+),
+again as (
+  select r, i from (select r, i, count(*) over (partition by r, win) as n from windows) where n > 1
+),
+covered as (
+  select r, count(distinct p) as n_repeat_words
+  from (select r, unnest(range(i, i + 8)) as p from again) group by r
+),
+measured as (
+  select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    length(text) - length(regexp_replace(text, '[!?]', '', 'g')) as n_marks,
+    len(list_filter(w, lambda x: lower(x) in ({_STOP}))) as n_stop_words,
+    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
+  from split left join covered using (r)
+),
+based as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or {" or ".join(_rule_sql(r) for r in quality_rules.RULES)}) as kept
+from based
+"""
+
+_OP8 = f"""
+with bodies as (
+  select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as digest from pages
+),
+judged as (
+  select *, case when n >= {warc.MIN_REVISIT_BYTES}
+    then max(page_id) over (partition by digest, n) end as response
+  from bodies
+)
+select page_id, n as payload_bytes, digest as payload_digest,
+  case when response is null or response is not distinct from page_id then 'response'
+    else 'revisit' end as record_type,
+  case when response is distinct from page_id then response end as refers_to
+from judged
+"""
+
+
+def _fits_sql(rule: UrlRule) -> str:
+    host = f"(host = '{rule.host}' or ends_with(host, '.{rule.host}'))"
+    return f"when {host} and starts_with(path, '{rule.path}') then '{rule.text}'"
+
+
+_LONGEST_FIRST = sorted(URL_RULES, key=lambda r: (-len(r.text), r.text))
+
+_OP10 = f"""
+with rests as (
+  select page_id, url, case when contains(url, '://')
+    then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+),
+split as (
+  select page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from rests
+),
+ruled as (
+  select *, host || rtrim(path, '/') as key,
+    case {" ".join(_fits_sql(r) for r in _LONGEST_FIRST)} end as rule
+  from split
+),
+listed as (select distinct key from ruled where host <> '' and regexp_matches(url, '{SPAM_HOST}'))
+select page_id, host, path, rule,
+  case {" ".join(f"when rule = '{r.text}' then '{r.verdict}'" for r in URL_RULES)}
+    when host <> '' and key in (select key from listed) then 'block' else 'allow' end as verdict
+from ruled
+"""
+
+SQL = {
+    "op1_jump_shards": _OP1,
+    "op2_line_dedup": _OP2,
+    "op3_minhash": _OP3,
+    "op6_quality_rules": _OP6,
+    "op8_warc_revisits": _OP8,
+    "op9_decontamination": _OP9,
+    "op10_url_filter": _OP10,
+}
