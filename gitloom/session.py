@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 # Settings the operators were planned for; all can be overridden.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -31,18 +28,15 @@ def build_session(app: str = "gitloom", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without it: there a temporary folder is the same
-    disk for every task. On a cluster an unset folder is an error.
+    Only a local master may go without it: there the warehouse takes the scratch tables.
+    On a cluster an unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="gitloom-")
-    return _LOCAL_SCRATCH[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -57,5 +51,5 @@ def cut(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
