@@ -11,12 +11,15 @@ from gitloom.llm import (
     decontamination,
     line_dedup,
     minhash,
+    quality_classifier,
     quality_rules,
     sharding,
+    toxicity,
     url_filter,
     warc,
 )
 from gitloom.llm.common import table
+from gitloom.llm.labelled import held_out
 from gitloom.llm.url_filter import UrlRule
 from gitloom.session import cut, scratch_path
 
@@ -24,6 +27,7 @@ SHARDS = 40
 RANK_FILE = "byte_bpe_50k.tiktoken"
 MIN_LINE_DOCS, MIN_LINE_CHARS = 10, 1
 NEAR_PERCENT = 85
+KEEP_SCORE, TOXIC_SCORE = 0.3, 0.5
 URL_RULES = (
     UrlRule("com", "/", "allow"),
     UrlRule("example.com", "/en/", "block"),
@@ -71,6 +75,17 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _predicted(scored: DataFrame, least: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return _predicted(quality_classifier.score(docs, weights), KEEP_SCORE)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -78,6 +93,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", *measured, "base_failed", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _predicted(toxicity.score(docs, model), TOXIC_SCORE)
+
+
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -99,7 +120,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash": op3_minhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,

@@ -66,7 +66,8 @@ def deduplicated(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     """Add ``response_id``: the page whose record has the payload, null for responses.
 
     Of equal payloads of ``min_bytes`` or more the row with the largest page_id is the
-    response; rows that repeat that id too are responses as well. Null ids come last.
+    response; rows that repeat that id too are responses as well (and share a record id, as
+    page and payload are the same). Null ids come last.
     """
     headed = with_headers(pages)
     joined = headed.join(responders(headed, min_bytes), ["digest", "n_bytes"], "left")
