@@ -152,25 +152,25 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """``bucket, class, turn`` for buckets of two classes or more.
+    """``bucket, band, cid, turn`` for buckets of two classes or more.
 
     ``turn`` says when a member is compared with the rest of its bucket: one at turn 0,
-    about twice as many at each later turn, so a bucket of m classes has log2(m) turns.
+    about four times as many at each later turn, so m classes take about log4(m) turns.
     """
-    entries = classes.select(F.explode("bands").alias("bucket"), "class")
+    entries = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid")
     shared = (
         entries.groupBy("bucket")
-        .agg(F.count("*").alias("m"), F.min("class").alias("first"))
+        .agg(F.count("*").alias("m"), F.min("cid").alias("first"))
         .where("m > 1")
     )
-    lot = F.shiftrightunsigned(F.xxhash64("class", "bucket"), 11) / float(1 << 53)
-    later = 1 + F.floor(F.log2(F.greatest(F.lit(1.0), lot * F.col("m"))))
-    turn = F.when(F.col("class") == F.col("first"), 0).otherwise(later.cast("int"))
-    return entries.join(shared, "bucket").select("bucket", "class", turn.alias("turn"))
+    lot = F.shiftrightunsigned(F.xxhash64("cid", "bucket"), 11) / float(1 << 53)
+    later = 1 + F.floor(F.log(4.0, F.greatest(F.lit(1.0), lot * F.col("m"))))
+    turn = F.when(F.col("cid") == F.col("first"), 0).otherwise(later.cast("int"))
+    return entries.join(shared, "bucket").select("bucket", "band", "cid", turn.alias("turn"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
-    """``class, shingles`` of the wanted classes, made again from one document of each."""
+    """``cid, shingles`` of the wanted classes, made again from one document of each."""
     first, second = text_key(text)
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("__id"),
@@ -184,77 +184,115 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFra
         for batch in small_batches(batches, "text"):
             sets = [shingles(t).view(np.int64) for t in utf8(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), pa.array(sets, pa.list_(pa.int64()))],
-                names=["class", "shingles"],
+                [batch.column("cid"), pa.array(sets, pa.list_(pa.int64()))],
+                names=["cid", "shingles"],
             )
 
-    made = chosen.select("class", "text").mapInArrow(run, "class binary, shingles array<long>")
-    return made.groupBy("class").agg(F.first("shingles").alias("shingles"))  # repeated rows
+    made = chosen.select("cid", "text").mapInArrow(run, "cid long, shingles array<long>")
+    return made.groupBy("cid").agg(F.first("shingles").alias("shingles"))  # repeated rows
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int, text: str) -> DataFrame:
-    """Of ``a, b, comp_a, comp_b`` the pairs that reach the threshold on their full sets."""
-    brief = classes.select("class", "n_shingles", "signature")
-    sides = pairs
+def prune(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members that may still be linked with another component, with ``shared`` set anew.
+
+    ``shared`` counts the shingles of a class that a class of another component has too. No
+    pair has more in common, so classes with fewer than ``percent`` of a hundred have no
+    link left. Buckets that one component holds are left out.
+    """
+    who = live.select("cid", "comp").distinct()
+    rows = sets.join(who, "cid").select("cid", "comp", F.explode("shingles").alias("h"))
+    common = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    counted = (
+        rows.join(common.where("lo != hi").select("h"), "h")
+        .groupBy("cid")
+        .agg(F.count("*").alias("shared"))
+    )
+    able = live.drop("shared").join(counted, "cid").where(F.col("shared") * 100 >= F.col("n") * percent)
+    mixed = able.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return able.join(mixed.where("lo != hi").select("bucket"), "bucket")
+
+
+def candidates(live: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``a, b, comp_a, comp_b, n_a, n_b``: pairs of this turn that may reach the threshold.
+
+    Sizes and shared shingles bound the similarity from above; the packed signatures
+    estimate it. All three are tested where the pair is formed, and so is that no earlier
+    band has the pair: it belongs to the first bucket that both are in.
+    """
+    sides = {}
     for side in ("a", "b"):
-        names = {"class": side, "n_shingles": f"n_{side}", "signature": f"s_{side}"}
-        sides = sides.join(brief.withColumnsRenamed(names), side)
-    near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (
-        estimate("s_a", "s_b") >= estimate_floor(percent / 100)
+        names = {"cid": side, "comp": f"comp_{side}", "n": f"n_{side}", "signature": f"s_{side}"}
+        names |= {"turn": f"turn_{side}", "shared": f"shared_{side}", "marks": f"marks_{side}"}
+        sides[side] = live.withColumnsRenamed(names)
+    met = sides["a"].where(F.col("turn_a") == turn).join(
+        sides["b"].where(F.col("turn_b") >= turn), ["bucket", "band"]
     )
-    asked = cut(sides.where(near).drop("s_a", "s_b"), "candidates")
-    ends = asked.select(F.col("a").alias("class")).union(asked.select("b")).distinct()
-    wanted = classes.join(ends, "class").select("class", "source.*")
-    sets = full_sets(docs, wanted, text)
+    earlier = F.zip_with(
+        F.slice("marks_a", 1, F.col("band")), F.slice("marks_b", 1, F.col("band")), lambda x, y: x == y
+    )
+    both = F.least("shared_a", "shared_b")
+    near = (
+        ((F.col("turn_b") > turn) | (F.col("a") < F.col("b")))
+        & (F.col("comp_a") != F.col("comp_b"))
+        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
+        & (estimate("s_a", "s_b") >= estimate_floor(percent / 100))
+        & ~F.exists(earlier, lambda same: same)
+    )
+    return met.where(near).select("a", "b", "comp_a", "comp_b", "n_a", "n_b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the candidates those that reach the threshold on their full sets."""
+    asked = pairs
     for side in ("a", "b"):
-        asked = asked.join(sets.withColumnsRenamed({"class": side, "shingles": f"set_{side}"}), side)
+        asked = asked.join(sets.withColumnsRenamed({"cid": side, "shingles": f"set_{side}"}), side)
     both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     exact = both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent
     return asked.where(exact).select("a", "b", "comp_a", "comp_b")
 
 
 def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: str) -> DataFrame | None:
-    """``class, comp`` of the classes that are linked to another one.
+    """``cid, comp`` of the classes that are linked to another one; None if none is.
 
     In each turn the chosen members of a bucket are compared with those of the bucket that
-    are not yet in the same component. A bucket is left when one component holds it, so a
-    group of near copies costs about one comparison for each copy, and no link between
-    components is passed over: in the end every pair of a bucket is compared or joined.
+    are not yet in the same component. A bucket is left when one component holds all that
+    may still be linked, so a group of near copies costs few comparisons for each copy, and
+    no link between components is passed over: in the end every pair of a bucket is
+    compared, joined or ruled out by a bound.
     """
-    live, comps, turn = cut(bucket_members(classes), "members"), None, 0
-    live = live.withColumn("comp", F.col("class"))
-    while True:
-        pivots = live.where(F.col("turn") == turn)
-        pivots = pivots.select("bucket", F.col("class").alias("p"), F.col("comp").alias("comp_p"))
-        others = live.where(F.col("turn") >= turn)
-        later = (F.col("turn") > turn) | (F.col("p") < F.col("class"))
-        met = others.join(pivots, "bucket").where(later & (F.col("comp") != F.col("comp_p")))
-        low = F.col("p") < F.col("class")
-        pairs = met.select(
-            F.least("p", "class").alias("a"),
-            F.greatest("p", "class").alias("b"),
-            F.when(low, F.col("comp_p")).otherwise(F.col("comp")).alias("comp_a"),
-            F.when(low, F.col("comp")).otherwise(F.col("comp_p")).alias("comp_b"),
-        ).distinct()
-        links = cut(confirmed(docs, pairs, classes, percent, text), "links")
+    members = cut(bucket_members(classes), "members")
+    ends = members.select("cid").distinct()
+    wanted = classes.join(ends, "cid").select("cid", "source.*")
+    sets = cut(full_sets(docs, wanted, text), "sets")
+    brief = classes.select(
+        "cid",
+        F.col("cid").alias("comp"),
+        F.col("n_shingles").alias("n"),
+        "signature",
+        # 32 bits of each band: enough to tell whether two classes share it.
+        F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("marks"),
+    )
+    live, comps, turn = cut(prune(members.join(brief, "cid"), sets, percent), "members"), None, 0
+    while not live.isEmpty():
+        links = cut(confirmed(candidates(live, turn, percent), sets, percent), "links")
+        rest = live.where(F.col("turn") > turn)
         if not links.isEmpty():
-            roots = connected_components(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-            ends = links.select(F.col("a").alias("class"), F.col("comp_a").alias("comp"))
-            ends = ends.union(links.select("b", "comp_b"))
-            ends = ends.union(comps) if comps is not None else ends
-            moved = ends.distinct().join(roots, F.col("comp") == F.col("node"), "left")
-            comps = cut(moved.select("class", F.coalesce("root", "comp").alias("comp")), "comps")
-        rest = live.where(F.col("turn") > turn).drop("comp")
-        if comps is not None:
-            rest = rest.join(comps, "class", "left")
-            rest = rest.withColumn("comp", F.coalesce("comp", "class"))
-        else:
-            rest = rest.withColumn("comp", F.col("class"))
-        mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        live = cut(rest.join(mixed.where("lo != hi").select("bucket"), "bucket"), "members")
+            edges = links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+            roots = connected_components(edges)
+            known = links.select(F.col("a").alias("cid"), F.col("comp_a").alias("comp"))
+            known = known.union(links.select("b", "comp_b"))
+            known = known.union(comps) if comps is not None else known
+            moved = known.distinct().join(roots, F.col("comp") == F.col("node"), "left")
+            comps = cut(moved.select("cid", F.coalesce("root", "comp").alias("comp")), "comps")
+            # Only members of merged components change theirs.
+            fresh = roots.withColumnsRenamed({"node": "comp", "root": "__root"})
+            rest = rest.join(fresh, "comp", "left").withColumn("comp", F.coalesce("__root", "comp"))
+            rest = rest.drop("__root")
+        sets = cut(sets.join(rest.select("cid").distinct(), "cid", "left_semi"), "sets")
+        live = cut(prune(rest, sets, percent), "members")
         turn += 1
-        if live.isEmpty():
-            return comps
+    return comps
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
@@ -278,19 +316,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
     comps = class_components(docs, classes, percent, text)
-    named = classes.select("class", F.col("least").alias("component_id"))
+    named = classes.select("class", "cid", F.col("least").alias("component_id"))
     if comps is not None:
-        known = classes.select("class", "least").join(comps, "class")
-        least = known.groupBy("comp").agg(F.min("least").alias("comp_id"))
-        named = (
-            named.join(comps, "class", "left")
-            .join(least, "comp", "left")
-            .select("class", F.coalesce("comp_id", "component_id").alias("component_id"))
-        )
+        known = named.join(comps, "cid")
+        least = known.groupBy("comp").agg(F.min("component_id").alias("comp_id"))
+        linked_to = comps.join(least, "comp").select("cid", "comp_id")
+        named = named.join(linked_to, "cid", "left")
+        named = named.withColumn("component_id", F.coalesce("comp_id", "component_id"))
+    named = named.select("class", "component_id")
     rows = signed.select("doc_id", "n_shingles", "t1", "t2", "class")
     linked = rows.where("class is not null").join(named, "class")
     alone = rows.where("class is null").withColumn("component_id", F.col("doc_id"))

@@ -40,6 +40,30 @@ def test_equals_brute_force(spark):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_a_large_group_of_linked_and_unlinked_copies(spark):
+    """Buckets that hold many components take several turns; no link may be lost."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(220):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 12])):
+            at = rng.randrange(len(words))
+            kind = rng.random()
+            if kind < 0.5:
+                words[at] = f"e{rng.randrange(9)}"
+            elif kind < 0.8:
+                del words[at : at + 3]
+            else:
+                words.insert(at, f"x{i}")
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    expected = brute.components(texts, 85)
+    assert 20 < len(set(expected)) < 200
+    found = minhash.near_duplicates(docs, 85).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in found] == expected
+
+
 def test_keep_one_nulls_repeats_and_clashing_columns(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text, 1, "a"), (4, text, 2, "b"), (4, text, 2, "b"), (9, text + " x", 3, "c")]
