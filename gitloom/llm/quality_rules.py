@@ -108,7 +108,11 @@ def measure(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFr
     steps = F.zip_with(left, right, lambda a, b: F.least(b - a, F.lit(WINDOW)).cast("long"))
     covered = F.aggregate(steps, F.lit(WINDOW).cast("long"), lambda total, x: total + x)
     repeat = F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words")
-    return _let(df, out, F.struct("__counts.*", repeat), "__starts", "__counts")
+    # A later filter on the measures must not be moved below them: Spark would put the
+    # expressions of all these steps into it, again and again. It never moves a filter
+    # below a row number, which is what the condition reads.
+    whole = F.when(F.monotonically_increasing_id() >= 0, F.struct("__counts.*", repeat))
+    return _let(df, out, whole, "__starts", "__counts")
 
 
 def base_failed(q: str = "quality") -> Column:

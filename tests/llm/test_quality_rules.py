@@ -45,6 +45,12 @@ def test_each_rule_decides(spark):
         assert (r["want"] in r["failed_rules"]) if r["want"] else r["kept"], r
 
 
+def test_a_filter_on_the_verdict_does_not_repeat_the_steps(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = quality_rules.judge(docs).where("kept").select("text")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
+
+
 def test_plan_has_no_python_and_no_shuffle(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = quality_rules.judge(docs)._jdf.queryExecution().executedPlan().toString()
