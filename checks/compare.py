@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import sys
 import time
 
 import duckdb
 
+from gitloom.session import scratch_scope
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -30,8 +33,9 @@ def digest(columns: list[str], rows) -> tuple[int, str]:
 
 def compare(spark, sf: str, name: str, fn, sql: str | None) -> str:
     start = time.time()
-    df = fn(spark, sf)
-    ours = digest(df.columns, [tuple(r) for r in df.collect()])
+    with scratch_scope(spark):
+        df = fn(spark, sf)
+        ours = digest(df.columns, [tuple(r) for r in df.collect()])
     seconds = time.time() - start
     if sql is None:
         return f"ROWS  {name} rows={ours[0]} {seconds:.1f}s"
@@ -57,6 +61,7 @@ def main(argv: list[str]) -> None:
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": os.path.abspath("spark-warehouse/_compare"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     for name, (fn, sql) in all_checks().items():

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+from gitloom.sources.paths import remove
+
+_scopes = threading.local()
 
 # Settings the operators were planned for; all can be overridden.
 DEFAULTS = {
@@ -40,7 +48,23 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end: results must be written before."""
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    _scopes.open.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            remove(spark, path)
 
 
 def cut(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -53,3 +77,20 @@ def cut(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_measured(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """As :func:`cut`, with aggregates of the rows taken while they are written."""
+    seen = Observation()
+    named = [m.alias(name) for name, m in measures.items()]
+    stored = cut(df.observe(seen, *named), label)
+    found = observed(seen)
+    return stored, stored.agg(*named).first().asDict() if found is None else found
+
+
+def observed(seen: Observation) -> dict | None:
+    """What was observed; None where Spark knew that there are no rows and observed nothing."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return None

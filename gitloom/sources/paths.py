@@ -22,6 +22,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    if not fs.rename(hadoop_path, _file_system(spark, target)[1]):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
