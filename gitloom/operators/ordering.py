@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from gitloom.session import cut
 
 
+def _join_back(ranged: DataFrame, starts: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
+    """``ranged`` with the columns of ``starts``; null keys meet null keys."""
+    named = {k: f"__k{i}" for i, k in enumerate(keys)} | {part: "__p"}
+    other = starts.withColumnsRenamed(named)
+    same = F.col(part) == F.col("__p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(named[k]))
+    return ranged.join(other, same).drop(*named.values())
+
+
 def ordered_prefix(
     df: DataFrame,
     keys: Sequence[str],
@@ -47,7 +57,7 @@ def ordered_prefix(
     within = Window.partitionBy(*keys, part).orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        ranged.join(starts, [*keys, part])
+        _join_back(ranged, starts, keys, part)
         .withColumn(rank_col, F.row_number().over(within) + F.col("__rows_before"))
         .withColumn(total_col, F.sum("__amount").over(upto) + F.col("__sum_before"))
         .drop(part, "__amount", "__rows_before", "__sum_before")
@@ -85,20 +95,20 @@ def preceding_marked(
     within = Window.partitionBy(*keys, part).orderBy(*order)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ranged.where(F.col("__value").isNotNull())
-        .groupBy(*keys, part)
-        .agg(F.max_by("__value", F.struct(*order)).alias("__last"))
-    )
-    # Every (key, partition) needs a row to receive what earlier partitions hand on.
+    # Every (key, partition) has a row, to receive what earlier partitions hand on.
     starts = (
-        ranged.select(*keys, part)
-        .distinct()
-        .join(carried, [*keys, part], "left")
-        .select(*keys, part, F.last("__last", ignorenulls=True).over(earlier).alias("__carry"))
+        ranged.groupBy(*keys, part)
+        .agg(
+            F.max_by(
+                F.struct("__value"), F.when(F.col("__value").isNotNull(), F.struct(*order))
+            ).alias("__last")
+        )
+        .select(
+            *keys, part, F.last("__last.__value", ignorenulls=True).over(earlier).alias("__carry")
+        )
     )
     return (
-        ranged.join(starts, [*keys, part])
+        _join_back(ranged, starts, keys, part)
         .withColumn(
             out, F.coalesce(F.last("__value", ignorenulls=True).over(before), F.col("__carry"))
         )

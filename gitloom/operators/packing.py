@@ -30,7 +30,7 @@ def pack_lines(
 
     When the joined lines fit in ``limit`` there is one chunk (``fits``). Otherwise
     lines fill a chunk until adding ``length + 1`` would pass the limit; a line over
-    the limit is a chunk of its own. Most keys are folded as one array. Keys too
+    the limit is a chunk of its own. A null line is an empty one. Most keys are folded as one array. Keys too
     large for one task are found by a pre-aggregation and packed by joins, with the
     same result.
     """
@@ -38,8 +38,8 @@ def pack_lines(
     lines = df.select(
         *keys,
         F.col(ord_col).alias("__ord"),
-        F.col(line_col).alias("__line"),
-        (F.length(line_col) + 1).alias("__len"),
+        F.coalesce(line_col, F.lit("")).alias("__line"),
+        (F.length(F.coalesce(line_col, F.lit(""))) + 1).alias("__len"),
     )
     sizes = lines.groupBy(*keys).agg(
         F.count("*").alias("__n"), F.sum("__len").alias("__chars")

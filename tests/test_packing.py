@@ -52,6 +52,23 @@ def test_distributed_path_gives_the_same_chunks(spark):
     assert packed(spark, data, 60, hot_lines=30) == expected
 
 
+def test_null_lines_count_as_empty_on_both_paths(spark):
+    rows = [(1, i, x) for i, x in enumerate(["aaaa", None, "bbbb", "cccc", "dddd", None])]
+    df = spark.createDataFrame(rows, "g int, i int, line string")
+    expected = greedy(["aaaa", "", "bbbb", "cccc", "dddd", ""], 10)
+    for options in ({}, {"hot_lines": 0}):
+        got = pack_lines(df, ["g"], "i", "line", 10, **options).orderBy("chunk_no").collect()
+        assert [r.text for r in got] == expected
+
+
+def test_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (3, 1, "c")], "k int, o int, v string")
+    got = {(r.k, r.o): r.rn for r in ordered_prefix(df, ["k"], ["o"]).collect()}
+    assert got == {(None, 1): 1, (None, 2): 2, (3, 1): 1}
+    marked = preceding_marked(df, ["k"], ["o"], F.col("o") == 1, F.col("v"), "before").collect()
+    assert {(r.k, r.o): r.before for r in marked} == {(None, 1): None, (None, 2): "a", (3, 1): None}
+
+
 def test_exact_fit_is_one_chunk(spark):
     assert packed(spark, {1: ["ab", "cd"]}, 5) == {1: ["ab\ncd"]}
     assert packed(spark, {1: ["ab", "cd"]}, 5, hot_lines=0) == {1: ["ab\ncd"]}
