@@ -1,14 +1,23 @@
-"""Group similar summaries into batches for category discovery."""
+"""Group similar summaries into batches for category discovery.
+
+K-means as Spark jobs: points stay in blocks, the centres of all restarts are a table, and
+one iteration of all restarts is one job. Neither points nor centres pass the driver, so
+the number of batches has no bound and the method is the same at every size.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gitloom.operators.neighbours import small_arrow_batches, squared
 from gitloom.operators.ordering import ordered_prefix
 from gitloom.session import cut
 
@@ -19,9 +28,8 @@ MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
 SUMMARIES_PER_BATCH = 20
 # --- end of fixed values ---
-# Centres live on the driver while k-means runs: this bounds them. Above it, batches
-# are cut inside coarse clusters.
-MAX_CENTRES = 1024
+# A block of points or centres has two to this power rows.
+BLOCK_BITS = 10
 
 
 def batch_count(n: int, per_batch: int = SUMMARIES_PER_BATCH) -> int:
@@ -34,19 +42,162 @@ def batch_count_column(df: DataFrame, per_batch: int = SUMMARIES_PER_BATCH) -> D
     )
 
 
+def _blocks(points: DataFrame, number: str, *keys: str) -> DataFrame:
+    """``keys, blk, numbers, flat``: the vectors of up to 1024 following numbers in a row."""
+    rows = points.groupBy(*keys, F.shiftright(number, BLOCK_BITS).alias("blk")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(number).alias("number"), "vec"))).alias("rows")
+    )
+    return rows.select(
+        *keys, "blk", F.col("rows.number").alias("numbers"), F.flatten("rows.vec").alias("flat")
+    )
+
+
+def _values(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy(zero_copy_only=False)
+
+
+def _nearest(blocks: DataFrame, centres: DataFrame) -> DataFrame:
+    """``blk, numbers, flat, seed, near``: for each restart the nearest centre of each point.
+
+    The centres are a query set that all points are compared with, block by block.
+    """
+    sent = _blocks(centres, "c", "seed").withColumnsRenamed({"numbers": "cs", "flat": "cflat"})
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {"blk": [], "seed": [], "d": [], "c": []}
+            for i in range(batch.num_rows):
+                names = _values(batch.column("cs"), i)
+                y = _values(batch.column("cflat"), i).reshape(len(names), -1)
+                d = squared(_values(batch.column("flat"), i).reshape(-1, y.shape[1]), y)
+                at = d.argmin(1)
+                found["blk"].append(batch.column("blk")[i].as_py())
+                found["seed"].append(batch.column("seed")[i].as_py())
+                found["d"].append(d[np.arange(len(d)), at].astype("<f8").tobytes())
+                found["c"].append(names[at].astype("<i8").tobytes())
+            yield pa.RecordBatch.from_pydict(found)
+
+    met = blocks.select("blk", "flat").join(sent.select("seed", "cs", "cflat"), F.lit(True))
+    ways = met.mapInArrow(compare, "blk long, seed long, d binary, c binary")
+    near = ways.groupBy("blk", "seed").agg(F.collect_list(F.struct("d", "c")).alias("near"))
+    return blocks.join(near, "blk")
+
+
+def _choose(near: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest distance over the blocks of centres, ties to the smaller centre."""
+    d = np.stack([np.frombuffer(x["d"], "<f8") for x in near])
+    c = np.stack([np.frombuffer(x["c"], "<i8") for x in near])
+    best = d.min(0)
+    return best, np.where(d == best, c, np.iinfo(np.int64).max).min(0)
+
+
+def _moved(blocks: DataFrame, centres: DataFrame) -> DataFrame:
+    """``seed, c, vec, n, cost``: the means of the points nearest to each centre."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {"seed": [], "c": [], "vec": [], "n": [], "cost": []}
+            for i in range(batch.num_rows):
+                d, c = _choose(batch.column("near")[i].as_py())
+                x = _values(batch.column("flat"), i).reshape(len(c), -1)
+                seed = batch.column("seed")[i].as_py()
+                names, at, n = np.unique(c, return_inverse=True, return_counts=True)
+                sums = np.zeros((len(names), x.shape[1]))
+                np.add.at(sums, at, x)
+                out["seed"] += [seed] * len(names)
+                out["c"] += names.tolist()
+                out["vec"] += (sums / n[:, None]).tolist()
+                out["n"] += n.astype(float).tolist()
+                out["cost"] += np.bincount(at, d, len(names)).tolist()
+            yield pa.RecordBatch.from_pydict(
+                {k: pa.array(v, kinds[k]) for k, v in out.items()}
+            )
+
+    real = pa.float64()
+    kinds = {"seed": pa.int64(), "c": pa.int64(), "vec": pa.list_(real), "n": real, "cost": real}
+    parts = _nearest(blocks, centres).select("seed", "flat", "near").mapInArrow(
+        add_up, "seed long, c long, vec array<double>, n double, cost double"
+    )
+    mean = Summarizer.mean(array_to_vector("vec"), F.col("n"))
+    return parts.groupBy("seed", "c").agg(
+        vector_to_array(mean).alias("vec"), F.sum("n").alias("n"), F.sum("cost").alias("cost")
+    )
+
+
+def _first_centres(points: DataFrame, k: int, restarts: int) -> DataFrame:
+    """For each restart ``k`` distinct vectors, drawn by a hash of seed and vector."""
+    seeds = F.array(*[F.lit(FIRST_SEED + i).cast("long") for i in range(restarts)])
+    drawn = points.select("vec").distinct().select("vec", F.explode(seeds).alias("seed"))
+    keyed = drawn.withColumn("lot", F.xxhash64("seed", "vec"))
+    ranked = ordered_prefix(keyed, ["seed"], ["lot", "vec"], None, "c")
+    return ranked.where(F.col("c") <= k).select("seed", "c", "vec")
+
+
 def _best_labels(points: DataFrame, k: int, restarts: int) -> DataFrame:
-    """k-means with the lowest cost over ``restarts`` seeds."""
-    points = points.persist()
-    best = None
-    for seed in range(FIRST_SEED, FIRST_SEED + restarts):
-        model = KMeans(
-            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE, featuresCol="vec", predictionCol="batch"
-        ).fit(points)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    labelled = cut(best.transform(points).drop("vec"), "batches")
-    points.unpersist()
-    return labelled
+    """``row, batch, d`` of the restart with the lowest cost; centres that lost all their
+    points have no rows."""
+    spark = points.sparkSession
+    with small_arrow_batches(spark, 64):
+        blocks = cut(_blocks(points, "row"), "point-blocks")
+        moving = cut(_first_centres(points, k, restarts), "centres")
+        settled = None
+        for number in range(1, MAX_ITERATIONS + 1):
+            after = cut(_moved(blocks, moving), "centres")
+            old = moving.select("seed", "c", F.col("vec").alias("old"))
+            gap = F.aggregate(
+                F.zip_with("vec", "old", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x
+            )
+            shifts = after.join(old, ["seed", "c"]).groupBy("seed").agg(F.max(gap).alias("shift"))
+            done = [r["seed"] for r in shifts.collect() if r["shift"] <= TOLERANCE**2]
+            if number == MAX_ITERATIONS:
+                still = after
+            else:
+                still = after.where(F.col("seed").isin(*done)) if done else None
+            if still is not None:
+                settled = still if settled is None else settled.unionByName(still)
+            moving = after.where(~F.col("seed").isin(*done)) if done else after
+            if number == MAX_ITERATIONS or len(done) and moving.isEmpty():
+                break
+        costs = settled.groupBy("seed").agg(F.sum("cost").alias("cost"))
+        best = costs.orderBy("cost", "seed").first()["seed"]
+        near = _nearest(blocks, settled.where(F.col("seed") == best).select("seed", "c", "vec"))
+
+        def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    d, c = _choose(batch.column("near")[i].as_py())
+                    numbers = _values(batch.column("numbers"), i)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(numbers), pa.array(c), pa.array(d)], names=["row", "batch", "d"]
+                    )
+
+        return cut(
+            near.select("numbers", "near").mapInArrow(label, "row long, batch long, d double"), "labels"
+        )
+
+
+def _fill_empty(points: DataFrame, labels: DataFrame, k: int) -> DataFrame:
+    """Give every batch without points one vector: the farthest from their centres.
+
+    One vector of each batch is kept out of it, so that no batch is emptied; the others
+    are enough, as there are at least ``k`` distinct vectors.
+    """
+    used = labels.select("batch").distinct()
+    lacking = k - used.count()
+    if lacking == 0:
+        return labels
+    vectors = points.join(labels, "row").groupBy("batch", "vec").agg(F.max("d").alias("d"))
+    kept = vectors.groupBy("batch").agg(F.min(F.struct("d", "vec")).alias("m"))
+    free = vectors.join(kept, (vectors.batch == kept.batch) & (vectors.vec == F.col("m.vec")), "left_anti")
+    keyed = free.select(F.lit(0).alias("all"), (-F.col("d")).alias("far"), "batch", "vec")
+    ranked = ordered_prefix(keyed, ["all"], ["far", "batch", "vec"], None, "place")
+    names = points.sparkSession.range(1, k + 1).withColumnRenamed("id", "batch").join(used, "batch", "left_anti")
+    named = ordered_prefix(names.withColumn("all", F.lit(0)), ["all"], ["batch"], None, "place")
+    moved = ranked.where(F.col("place") <= lacking).select("place", "vec").join(
+        named.select("place", F.col("batch").alias("new")), "place"
+    )
+    changed = points.join(moved, "vec").select("row", "new")
+    return labels.join(changed, "row", "left").select("row", F.coalesce("new", "batch").alias("batch"))
 
 
 def kmeans_batches(
@@ -55,43 +206,25 @@ def kmeans_batches(
     id_col: str = "id",
     vec_col: str = "embedding",
     restarts: int = RESTARTS,
-    max_centres: int = MAX_CENTRES,
 ) -> DataFrame:
-    """``id, batch`` with about ``per_batch`` rows a batch; every row gets one.
+    """``id, batch``: k-means with a batch for every ``per_batch`` rows; every row gets one.
 
-    Up to ``max_centres`` batches come straight from k-means. Beyond that the cost of
-    n * k and the centres themselves grow with the square of the data, so k-means finds
-    ``max_centres`` coarse clusters and each is cut into its share of batches along the
-    distance to a fixed direction, by ranks that no single task computes alone.
+    There are as many batches as that, or as distinct vectors if they are fewer, and none
+    is empty. The lowest cost over ``restarts`` seeds wins.
     """
-    # A direction from the position alone, the same for every row.
-    along = F.aggregate(
-        F.transform(vec_col, lambda x, i: x.cast("double") * F.cos(i.cast("double") + 1)),
-        F.lit(0.0),
-        lambda s, x: s + x,
-    )
-    points = df.select(
-        F.col(id_col).alias("id"),
-        array_to_vector(F.col(vec_col).cast("array<double>")).alias("vec"),
-        along.alias("along"),
-    )
-    n = points.count()
-    k = batch_count(n, per_batch)
-    if k == 1:
-        return points.select("id", F.lit(0).alias("batch"))
-    if k <= max_centres:
-        return _best_labels(points, k, restarts).select("id", "batch")
-    keyed = _best_labels(points, max_centres, restarts).withColumnRenamed("batch", "cell")
-    sizes = keyed.groupBy("cell").agg(F.count("*").alias("cell_n"))
-    ranked = ordered_prefix(keyed, ["cell"], ["along", "id"], None, "rank").join(sizes, "cell")
-    parts = F.ceil(F.col("cell_n") / per_batch)
-    return cut(
-        ranked.select(
-            "id",
-            # Cells are numbered below max_centres: the low part names the cell.
-            (
-                F.floor((F.col("rank") - 1) * parts / F.col("cell_n")) * max_centres + F.col("cell")
-            ).cast("long").alias("batch"),
+    points = cut(
+        df.select(
+            F.col(id_col).alias("id"),
+            F.col(vec_col).cast("array<double>").alias("vec"),
+            F.monotonically_increasing_id().alias("row"),
         ),
-        "batches",
+        "points",
     )
+    k = batch_count(points.count(), per_batch)
+    if k > 1:
+        k = min(k, points.select("vec").distinct().count())
+    if k <= 1:
+        return points.select("id", F.lit(0).cast("long").alias("batch"))
+    labels = _fill_empty(points, _best_labels(points, k, restarts), k)
+    numbered = points.select("id", "row").join(labels, "row")
+    return cut(numbered.select("id", (F.col("batch") - 1).alias("batch")), "batches")
