@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gitloom.functions.text import bigram_set
 from gitloom.operators.disagreement import TOP_PAIRS
-from gitloom.operators.neighbours import small_arrow_batches
+from gitloom.operators.neighbours import small_arrow_batches, tiled
 from gitloom.operators.ordering import ordered_prefix
 from gitloom.session import cut
 
@@ -146,9 +146,18 @@ def far_pairs(
     if metric == "euclidean":
         pairs = pairs.where(F.sqrt(F.col("la") + F.col("lb")) >= bar)
     a_side = blocks.select(F.col("blk").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    work = pairs.select("a", "b").join(a_side, "a").join(
-        blocks.select(F.col("blk").alias("b"), *columns), "b"
-    )
-    with small_arrow_batches(spark):
-        rest = cut(report(work.mapInPandas(compare, _PAIR)), "pairs")
+    b_side = blocks.select(F.col("blk").alias("b"), *columns)
+
+    def compare_tile(asks, gives):
+        held = {r.b: r for r in gives.itertuples()}
+        found = [
+            _first_pairs((r.a_ids, r.a_sizes, r.a_codes), (o.ids, o.sizes, o.codes), metric, k)
+            for r in asks.itertuples()
+            for o in map(held.__getitem__, r.bs)
+        ]
+        ordered = pd.concat(found).sort_values(["distance", "i", "j"], ascending=[False, True, True])
+        return ordered.head(k)
+
+    work = tiled(blocks.count(), pairs.select("a", "b"), a_side, b_side, compare_tile, _PAIR)
+    rest = cut(report(work), "pairs")
     return report(first.unionByName(rest))
