@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ BLANK_WORDS = ("nan", "none")
 # --- end of fixed values ---
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), F.lit(1))
+
+
 def strip(text: Column) -> Column:
     """Remove all Unicode white space at both ends (SQL ``trim`` drops spaces only)."""
     return F.trim(text, F.lit(WHITESPACE))
@@ -83,18 +90,34 @@ def sanitize_utf8(text: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 
+def is_blank_stripped(stripped: Column) -> Column:
+    """Nothing, or a word that stands for a missing value (only short texts are compared)."""
+    longest = max(map(len, BLANK_WORDS))
+    return (stripped == "") | F.lower(F.left(stripped, F.lit(longest + 1))).isin(*BLANK_WORDS)
+
+
 def is_blank_diff(diff: Column) -> Column:
-    stripped = strip(F.coalesce(diff, F.lit("")))
-    return (stripped == "") | F.lower(stripped).isin(*BLANK_WORDS)
+    return is_blank_stripped(strip(F.coalesce(diff, F.lit(""))))
+
+
+def stripped_file_path(stripped: Column, fallback: Column) -> Column:
+    """Path on the first ``--- a/`` or ``+++ b/`` line; ``unknown_<n>`` when there is none.
+
+    The mark before the path tells an empty path from none with one pass of the pattern.
+    """
+    pattern = f"(?:\\A|[{LINE_BREAKS}])((?:--- a/|\\+\\+\\+ b/)[^{LINE_BREAKS}]*)"
+
+    def path(found: Column) -> Column:
+        named = F.substring(found, len("--- a/") + 1, F.length(found))
+        return F.when(found != "", named).otherwise(
+            F.concat(F.lit("unknown_"), fallback.cast("string"))
+        )
+
+    return let(F.regexp_extract(stripped, pattern, 1), path)
 
 
 def diff_file_path(diff: Column, fallback: Column) -> Column:
-    """Path on the first ``--- a/`` or ``+++ b/`` line; ``unknown_<n>`` when there is none."""
-    pattern = f"(?:\\A|[{LINE_BREAKS}])(?:--- a/|\\+\\+\\+ b/)([^{LINE_BREAKS}]*)"
-    found = F.regexp_extract(strip(diff), pattern, 1)
-    return F.when(strip(diff).rlike(pattern), found).otherwise(
-        F.concat(F.lit("unknown_"), fallback.cast("string"))
-    )
+    return stripped_file_path(strip(diff), fallback)
 
 
 def truncate_diff(diff: Column, limit: int) -> Column:
@@ -126,9 +149,7 @@ def bigram_set(text: Column) -> Column:
             )
         )
 
-    # The token list is used several times: a one-element array computes it once.
-    found = F.element_at(F.transform(F.array(tokens), pairs), F.lit(1))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    return F.coalesce(let(tokens, pairs), F.array().cast("array<string>"))
 
 
 def bigrams(text: Column) -> Column:

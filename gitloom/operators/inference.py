@@ -52,7 +52,7 @@ def stub_model(key: str, suffix: str = "") -> Model:
 
 
 def _call_batch(client: Client, prompts: list[str]) -> tuple[list[str | None], list[str | None]]:
-    """Replies and errors of one batch; when the batch fails, prompts go one by one."""
+    """Replies and errors of one call; a failed call is one failed attempt of all its prompts."""
     try:
         replies = list(client(prompts))
         if len(replies) == len(prompts):
@@ -60,23 +60,16 @@ def _call_batch(client: Client, prompts: list[str]) -> tuple[list[str | None], l
         problem = f"{len(replies)} replies for {len(prompts)} prompts"
     except Exception as error:  # a failed call is a value, never a failed task
         problem = f"{type(error).__name__}: {error}"
-    if len(prompts) == 1:
-        return [None], [problem]
-    replies, errors = [], []
-    for prompt in prompts:
-        reply, error = _call_batch(client, [prompt])
-        replies += reply
-        errors += error
-    return replies, errors
-
-
-def call_model(df: DataFrame, prompt_col: str, model: Model) -> DataFrame:
-    """Add ``reply`` and ``call_error``."""
+    return [None] * len(prompts), [problem] * len(prompts)
+
+
+def call_model(df: DataFrame, prompt_col: str, model: Model, singly: bool = False) -> DataFrame:
+    """Add ``reply`` and ``call_error``; ``singly`` sends every prompt in a call of its own."""
     if model.reply is not None:
         return df.withColumn("reply", model.reply(F.col(prompt_col))).withColumn(
             "call_error", F.lit(None).cast("string")
         )
-    factory, size = model.client, model.batch_size
+    factory, size = model.client, 1 if singly else model.batch_size
     schema = T.StructType(
         [
             *df.schema.fields,
@@ -107,6 +100,10 @@ def infer(
 ) -> DataFrame:
     """Call the model until a value is read or ``max_retries`` attempts are used.
 
+    The first of several attempts sends lists, the others single prompts, so one prompt
+    that breaks a call costs the others of its list one attempt; a prompt is sent at most
+    ``max_retries`` times.
+
     Adds ``value, method, status, attempts, error, model``. ``kind`` other than
     ``string`` reads structured output. Callers pass only the columns they need.
     """
@@ -137,11 +134,9 @@ def infer(
     columns = df.columns
     pending, done = df, None
     for attempt in range(1, max_retries + 1):
-        tried = cut(
-            read(call_model(pending, prompt_col, model)).withColumn("attempts", F.lit(attempt)),
-            "attempt",
-        )
         last = attempt == max_retries
+        called = call_model(pending, prompt_col, model, singly=attempt > 1 or last)
+        tried = cut(read(called).withColumn("attempts", F.lit(attempt)), "attempt")
         kept = tried if last else tried.where(~failed)
         done = kept if done is None else done.unionByName(kept)
         pending = tried.where(failed).select(*columns)

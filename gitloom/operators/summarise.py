@@ -9,26 +9,22 @@ from pyspark.sql import functions as F
 
 from gitloom.functions.prompts import file_prompt, synthesis_prompt
 from gitloom.functions.text import (
-    diff_file_path,
-    is_blank_diff,
+    is_blank_stripped,
     strip,
+    stripped_file_path,
     summary_line,
     truncate_diff,
 )
 from gitloom.operators.inference import MAX_RETRIES, Model, infer
-from gitloom.operators.ordering import keep_first
+from gitloom.operators.ordering import keep_first, ordered_prefix
 from gitloom.operators.packing import pack_lines
 from gitloom.session import cut
 
 # --- fixed values ---
-MAX_FILE_DIFF_LENGTH = 150_000
 MAX_SYNTHESIS_LENGTH = 150_000
 FAILED_FILE = "[Failed to summarize]"
 NO_CHANGES = "No file changes to summarize."
 # --- end of fixed values ---
-# Reduction levels before a commit whose summaries do not shrink is failed.
-MAX_LEVELS = 12
-
 COMMIT_KEYS = ["repo_id", "commit_hash"]
 
 
@@ -38,6 +34,28 @@ def commit_attributes(file_diffs: DataFrame) -> DataFrame:
     return keep_first(file_diffs.select(*columns), COMMIT_KEYS, ["file_ord"]).drop("file_ord")
 
 
+def merge_forks(file_diffs: DataFrame) -> DataFrame:
+    """Rows of one hash in several repositories as one commit of the first repository.
+
+    Its files are numbered on: those of the first repository come first.
+    """
+    first = file_diffs.groupBy("commit_hash").agg(F.min("repo_id").alias("__repo"))
+    ranked = ordered_prefix(file_diffs, ["commit_hash"], ["repo_id", "file_ord"], None, "__rank")
+    merged = ranked.drop("running").join(first, "commit_hash").withColumns(
+        {"repo_id": F.col("__repo"), "file_ord": (F.col("__rank") - 1).cast("int")}
+    )
+    return merged.select(*file_diffs.columns)
+
+
+def distinct_commits(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count_distinct("commit_hash").alias("n_commits"))
+
+
+def row_totals(rows: DataFrame) -> DataFrame:
+    """File rows and the commits that have them."""
+    return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("commit_hash").alias("n_commits"))
+
+
 def commits_per_hash(file_diffs: DataFrame, merge_forks: bool = False) -> DataFrame:
     """File rows per commit; ``merge_forks`` groups by hash alone, as one commit
     that lives in several repositories."""
@@ -51,17 +69,23 @@ def not_summarised(file_diffs: DataFrame, summaries: DataFrame) -> DataFrame:
 
 
 def summarisable_files(
-    file_diffs: DataFrame, max_diff: int = MAX_FILE_DIFF_LENGTH, disable_thinking: bool = True
+    file_diffs: DataFrame, max_diff: int | None = None, disable_thinking: bool = True
 ) -> DataFrame:
-    """Non-blank file rows with ``file_path``, ``truncated`` and the rendered ``prompt``."""
-    diff = strip(F.col("diff"))
+    """Non-blank file rows with ``file_path``, ``truncated`` and the rendered ``prompt``.
+
+    The whole diff goes into the prompt unless the caller gives ``max_diff``. The diff is
+    stripped once, into a column that the rules read.
+    """
+    diff = F.col("__diff")
+    text = diff if max_diff is None else truncate_diff(diff, max_diff)
+    cut_short = F.lit(False) if max_diff is None else F.length(diff) > max_diff
     return (
-        file_diffs.where(~is_blank_diff(F.col("diff")))
-        .withColumn("file_path", diff_file_path(F.col("diff"), F.col("file_ord")))
-        .withColumn("truncated", F.length(diff) > max_diff)
-        .withColumn(
-            "prompt", file_prompt(F.col("file_path"), truncate_diff(diff, max_diff), disable_thinking)
-        )
+        file_diffs.withColumn("__diff", strip(F.coalesce("diff", F.lit(""))))
+        .where(~is_blank_stripped(diff))
+        .withColumn("file_path", stripped_file_path(diff, F.col("file_ord")))
+        .withColumn("truncated", cut_short)
+        .withColumn("prompt", file_prompt(F.col("file_path"), text, disable_thinking))
+        .drop("__diff")
     )
 
 
@@ -104,18 +128,20 @@ def synthesise(
     limit: int = MAX_SYNTHESIS_LENGTH,
     max_retries: int = MAX_RETRIES,
     disable_thinking: bool = True,
-    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Reduce each key's lines to one summary: ``keys, value, status, error, levels``.
 
     Each level is one job over the keys that are still too long: pack lines into
     chunks, summarise every chunk, and use the chunk summaries as the next lines.
-    ``messages`` holds ``commit_message`` per key. A failed chunk fails its key.
+    ``messages`` holds ``commit_message`` per key. A failed chunk fails its key, and so do
+    summaries that are together no shorter than what they summarise: a level always makes
+    a key smaller, so there is no fixed number of levels.
     """
     keys = list(keys)
     current = lines.select(*keys, F.col(ord_col).alias("ord"), F.col(line_col).alias("line"))
-    finished = None
-    for level in range(1, max_levels + 1):
+    finished, level = None, 0
+    while True:
+        level += 1
         chunks = pack_lines(current, keys, "ord", "line", limit).join(
             messages.select(*keys, "commit_message"), keys, "left"
         )
@@ -123,6 +149,7 @@ def synthesise(
             *keys,
             "chunk_no",
             "fits",
+            F.length("text").alias("chunk_chars"),
             synthesis_prompt(
                 F.coalesce("commit_message", F.lit("")), F.col("text"), disable_thinking
             ).alias("prompt"),
@@ -148,21 +175,25 @@ def synthesise(
             "error",
             F.lit(level).alias("levels"),
         )
-        level_done = final.unionByName(failed)
+        left = answered.where(~F.col("fits")).join(broken.select(*keys), keys, "left_anti")
+        chars = F.sum(F.length("value"))
+        # Chunks cover all lines: their texts' length is that of the level before.
+        stuck = left.groupBy(*keys).agg(chars.alias("now"), F.sum("chunk_chars").alias("before"))
+        stuck = stuck.where("now >= before").select(*keys)
+        endless = stuck.select(
+            *keys,
+            F.lit(None).cast("string").alias("value"),
+            F.lit("failed").alias("status"),
+            F.lit("summaries are too long and do not get shorter").alias("error"),
+            F.lit(level).alias("levels"),
+        )
+        level_done = final.unionByName(failed).unionByName(endless)
         finished = level_done if finished is None else finished.unionByName(level_done)
         current = cut(
-            answered.where(~F.col("fits"))
-            .join(broken.select(*keys), keys, "left_anti")
-            .select(*keys, F.col("chunk_no").alias("ord"), F.col("value").alias("line")),
+            left.join(stuck, keys, "left_anti").select(
+                *keys, F.col("chunk_no").alias("ord"), F.col("value").alias("line")
+            ),
             "level",
         )
         if current.isEmpty():
             return finished
-    endless = current.select(*keys).distinct().select(
-        *keys,
-        F.lit(None).cast("string").alias("value"),
-        F.lit("failed").alias("status"),
-        F.lit(f"summaries still too long after {max_levels} levels").alias("error"),
-        F.lit(max_levels).alias("levels"),
-    )
-    return finished.unionByName(endless)

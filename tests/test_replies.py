@@ -59,3 +59,18 @@ def test_typed_output(spark):
     good, bad = [r.r for r in df.select(rp.read_typed(F.col("v"), "categories", "array<string>").alias("r")).collect()]
     assert good.value == ["a", "b"] and good.error is None
     assert bad.value is None and bad.error
+
+
+def test_typed_output_in_fences_or_cut_short(spark):
+    cases = {
+        '```json\n{"categories": ["a", "b"]}\n```': ["a", "b"],
+        '{"categories": ["a", "b"': ["a", "b"],
+        '{"categories": ["a", "b"]': ["a", "b"],
+        '{"categories": ["a", "b c': ["a", "b c"],
+        '{"categories": ["a", ': ["a"],
+        '```\n{"categories": ["a", "x \\" y': ["a", 'x " y'],
+        "no list": None,
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, v string")
+    got = df.select("i", rp.read_typed(F.col("v"), "categories", "array<string>").alias("r")).orderBy("i").collect()
+    assert [r.r.value for r in got] == list(cases.values())

@@ -41,7 +41,8 @@ def test_retries_and_isolation(spark, tmp_path):
 
     df = spark.createDataFrame([("a",), ("boom",), ("twice",)], "p string").coalesce(1)
     rows = {r.p: r for r in infer(df, "p", "k", logging_client(log, answer)).collect()}
-    assert (rows["a"].value, rows["a"].attempts, rows["a"].status) == ("a", 1, "completed")
+    # the failed list call was the first attempt of all three prompts
+    assert (rows["a"].value, rows["a"].attempts, rows["a"].status) == ("a", 2, "completed")
     assert (rows["boom"].value, rows["boom"].attempts, rows["boom"].status) == (None, 3, "failed")
     assert "down" in rows["boom"].error
     assert rows["twice"].status == "completed" and rows["twice"].attempts > 1
@@ -111,13 +112,43 @@ def test_summaries_that_do_not_shrink_fail_their_commit(spark):
     lines = spark.createDataFrame([("h", i, "x" * 30) for i in range(4)], "h string, i int, line string")
     messages = spark.createDataFrame([("h", "m")], "h string, commit_message string")
     endless = Model("long", reply=lambda p: F.lit('{"semantic_summary": "' + "y" * 50 + '"}'))
-    row = synthesise(lines, messages, endless, ["h"], "i", "line", limit=40, max_levels=3).first()
-    assert row.status == "failed" and "too long" in row.error
+    row = synthesise(lines, messages, endless, ["h"], "i", "line", limit=40).first()
+    assert row.status == "failed" and "too long" in row.error and row.levels == 1
     shrinking = Model("short", reply=lambda p: F.lit('{"semantic_summary": "s"}'))
     row = synthesise(lines, messages, shrinking, ["h"], "i", "line", limit=40).first()
     assert (row.value, row.levels) == ("s", 2)
 
 
+def test_a_prompt_is_sent_three_times_at_most(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def fail(prompt):
+        raise RuntimeError("down")
+
+    df = spark.createDataFrame([(str(i),) for i in range(5)], "p string").coalesce(1)
+
+    def factory():
+        def client(prompts):
+            with open(log, "a") as f:
+                f.writelines("sent\n" for _ in prompts)
+            raise RuntimeError("down")
+
+        return client
+
+    assert infer(df, "p", "k", Model("bad", client=factory)).where("status = 'failed'").count() == 5
+    assert calls(log) == 15
+
+
+def test_forks_become_one_commit(spark, tmp_path):
+    rows = files(spark, ("abc", 0, "--- a/one.py\n+1"), ("def", 0, "--- a/x.py\n+1"))
+    fork = files(spark, ("abc", 0, "--- a/two.py\n+1")).withColumn("repo_id", F.lit("z/fork"))
+    out = str(tmp_path / "out")
+    done = plan.run(spark, rows.unionByName(fork), out, merge_forks=True)
+    assert done == {"processed": 2, "skipped": 0, "failed": 0}
+    stored = spark.read.parquet(f"{out}/summaries").orderBy("ord").collect()
+    assert [(r.commit_hash, r.repo_id, r.ord) for r in stored] == [("abc", "o/r", 0), ("def", "o/r", 1)]
+
+
 def test_forks_can_be_merged(spark):
     df = files(spark, ("abc", 0, "x")).unionByName(
         files(spark, ("abc", 0, "y")).withColumn("repo_id", F.lit("fork/r"))
