@@ -18,8 +18,8 @@ from gitloom.session import cut
 OTHER = "Other"
 RARE_BELOW = 10
 # --- end of fixed values ---
-# Prompts longer than this are split; a batch of ordinary size stays one prompt.
-MAX_PROMPT_CHARS = 1_000_000
+# No text is longer: prompts are split only where the caller gives a limit.
+UNLIMITED = 1 << 62
 STUB_TERMS = 3
 STUB_WORD = "[a-z]{4,}"
 
@@ -39,17 +39,33 @@ def numbered_summaries(batched: DataFrame) -> DataFrame:
     )
 
 
-def discovery_prompts(batched: DataFrame, max_chars: int = MAX_PROMPT_CHARS) -> DataFrame:
-    """One prompt per batch, or several with running numbers when a batch is too long."""
-    packed = pack_lines(numbered_summaries(batched), ["batch"], "n", "line", max_chars)
+def discovery_prompts(batched: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """One prompt per batch, or several with running numbers where ``max_chars`` is given."""
+    packed = pack_lines(numbered_summaries(batched), ["batch"], "n", "line", max_chars or UNLIMITED)
     return packed.select("batch", "chunk_no", discovery_prompt(F.col("text")).alias("prompt"))
 
 
-def discover(batched: DataFrame, model: Model, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """``batch, chunk_no, pos, category`` as the model lists them, duplicates kept."""
-    replies = infer(
-        discovery_prompts(batched), "prompt", "categories", model, max_retries, "array<string>"
+def _require_completed(replies: DataFrame, what: str, *named: str) -> None:
+    """A failed reply ends the job: nothing may be missing from its result."""
+    failed = replies.where("status = 'failed'")
+    first = failed.select(*named, "error").orderBy(*named).first()
+    if first:
+        names = ", ".join(f"{n} {first[n]}" for n in named)
+        raise ValueError(f"{failed.count()} replies failed in {what} ({names}): {first.error}")
+
+
+def discover(
+    batched: DataFrame, model: Model, max_retries: int = MAX_RETRIES, max_chars: int | None = None
+) -> DataFrame:
+    """``batch, chunk_no, pos, category`` as the model lists them, duplicates kept.
+
+    A batch whose reply fails is an error.
+    """
+    prompts = discovery_prompts(batched, max_chars)
+    replies = cut(
+        infer(prompts, "prompt", "categories", model, max_retries, "array<string>"), "discovered"
     )
+    _require_completed(replies, "category discovery", "batch")
     return replies.select("batch", "chunk_no", F.posexplode("value").alias("pos", "category"))
 
 
@@ -86,35 +102,33 @@ def merge_spellings(categories: DataFrame) -> DataFrame:
     return keep_first(categories.withColumn("__key", key), ["__key"], ["n"]).select("n", "category")
 
 
-def dedup_prompts(categories: DataFrame, max_chars: int = MAX_PROMPT_CHARS) -> DataFrame:
+def dedup_prompts(categories: DataFrame, max_chars: int | None = None) -> DataFrame:
     """``chunk_no, prompt, fits`` over the bulleted list."""
     lines = categories.select(
         F.lit(0).alias("__all"), "n", F.concat(F.lit("- "), "category").alias("line")
     )
-    return pack_lines(lines, ["__all"], "n", "line", max_chars).select(
+    return pack_lines(lines, ["__all"], "n", "line", max_chars or UNLIMITED).select(
         "chunk_no", dedup_prompt(F.col("text")).alias("prompt"), "fits"
     )
 
 
 def merge_with_model(
-    categories: DataFrame, model: Model, max_chars: int = MAX_PROMPT_CHARS, max_levels: int = 12
+    categories: DataFrame, model: Model, max_chars: int | None = None
 ) -> DataFrame:
-    """Let the model merge near-duplicates.
+    """Let the model merge near-duplicates in one call.
 
-    A list that fits one prompt takes one call. A longer one is merged piece by piece
-    and the result merged again, until it fits.
+    Where the caller gives ``max_chars``, a longer list is merged piece by piece and the
+    result merged again, until it fits; a round that leaves as many categories is an error.
     """
-    current = categories
-    for _ in range(max_levels):
+    current, before = categories, None
+    while True:
         replies = cut(
             infer(
                 dedup_prompts(current, max_chars), "prompt", "categories", model, kind="array<string>"
             ),
             "merged",
         )
-        failed = replies.where("status = 'failed'").select("error").first()
-        if failed:
-            raise ValueError(f"category merge failed: {failed.error}")
+        _require_completed(replies, "category merge", "chunk_no")
         rows = replies.select(
             F.lit(0).alias("__all"), "chunk_no", F.posexplode("value").alias("pos", "category")
         )
@@ -124,30 +138,67 @@ def merge_with_model(
         )
         if replies.where("not fits").isEmpty():
             return current
-    raise ValueError(f"category list still too long after {max_levels} levels")
+        now = current.count()
+        if before is not None and now >= before:
+            raise ValueError(f"the category list stays at {now} and is longer than {max_chars} characters")
+        before = now
 
 
 # --- assignment ------------------------------------------------------------------
 
 
-def assignment_prompts(docs: DataFrame, categories: DataFrame, max_chars: int = MAX_PROMPT_CHARS) -> DataFrame:
-    """``id, prompt``; the whole list is part of every prompt, so its size is checked."""
+def assignment_prompts(docs: DataFrame, categories: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """``id, piece, prompt``: the list is part of every prompt, whole or, where the caller
+    gives ``max_chars``, in pieces of that length."""
     lines = categories.select(
         F.lit(0).alias("__all"), "n", F.concat(F.lit("- "), "category").alias("line")
     )
-    packed = cut(pack_lines(lines, ["__all"], "n", "line", max_chars), "category-list")
-    if not packed.where("not fits").isEmpty():
-        raise ValueError(f"the category list is longer than {max_chars} characters: merge it first")
-    listing = packed.select("text").scalar()
-    return docs.select(
-        "id", assignment_prompt(F.coalesce(listing, F.lit("")), F.col("document")).alias("prompt")
+    packed = cut(pack_lines(lines, ["__all"], "n", "line", max_chars or UNLIMITED), "category-list")
+    pieces = F.sort_array(F.collect_list(F.struct("chunk_no", "text")))
+    texts = F.transform(pieces, lambda p: p["text"])
+    listings = packed.agg(F.when(F.count("*") == 0, F.array(F.lit(""))).otherwise(texts).alias("p"))
+    held = docs.select("id", "document", listings.scalar().alias("listings"))
+    asked = held.select("id", "document", F.posexplode("listings").alias("piece", "listing"))
+    return asked.select(
+        "id", "piece", assignment_prompt(F.col("listing"), F.col("document")).alias("prompt")
     )
 
 
-def assign(docs: DataFrame, categories: DataFrame, model: Model, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """``id, category``: the model's answer as given."""
-    replies = infer(assignment_prompts(docs, categories), "prompt", "category", model, max_retries)
-    return replies.select("id", F.col("value").alias("category"), "status", "error")
+def assign(
+    docs: DataFrame,
+    categories: DataFrame,
+    model: Model,
+    max_retries: int = MAX_RETRIES,
+    max_chars: int | None = None,
+) -> DataFrame:
+    """``id, category, status, error``: the model's answer as given.
+
+    With a list in pieces a document is asked once per piece, and once more for a choice
+    among the different answers. A document is failed if one of its replies is.
+    """
+    prompts = assignment_prompts(docs, categories, max_chars)
+    replies = infer(prompts, "prompt", "category", model, max_retries)
+    if max_chars is None:
+        return replies.select("id", F.col("value").alias("category"), "status", "error")
+    asked = cut(replies.select("id", "piece", "value", "status", "error"), "pieces")
+    answers = asked.groupBy("id").agg(
+        F.array_distinct(
+            F.transform(F.sort_array(F.collect_list(F.struct("piece", "value"))), lambda r: r["value"])
+        ).alias("found"),
+        F.min(F.when(F.col("status") == "failed", F.coalesce("error", F.lit("failed")))).alias("error"),
+    )
+    open_ = answers.where(F.col("error").isNull() & (F.size("found") > 1)).join(docs, "id")
+    listing = F.array_join(F.transform("found", lambda v: F.concat(F.lit("- "), v)), "\n")
+    finals = open_.select("id", assignment_prompt(listing, F.col("document")).alias("prompt"))
+    chosen = infer(finals, "prompt", "category", model, max_retries)
+    chosen = chosen.select("id", F.col("value").alias("category"), "status", "error")
+    settled = answers.where(F.col("error").isNotNull() | (F.size("found") <= 1)).select(
+        "id",
+        F.when(F.col("error").isNull(), F.try_element_at("found", F.lit(1))).alias("category"),
+        F.when(F.col("error").isNull(), "completed").otherwise("failed").alias("status"),
+        "error",
+    )
+    return settled.unionByName(chosen)
 
 
 def assign_by_words(docs: DataFrame, categories: DataFrame) -> DataFrame:

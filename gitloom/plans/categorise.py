@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gitloom.operators import categories as ct
 from gitloom.operators.batches import SUMMARIES_PER_BATCH, kmeans_batches
 from gitloom.operators.inference import Model
-from gitloom.session import cut
+from gitloom.session import cut, scratch_scope
 from gitloom.sources.collection import read_collection
 from gitloom.sources.paths import path_exists, remove
 from gitloom.sources.tables import write_by_category
@@ -50,9 +50,13 @@ def categorise(
     batches: DataFrame | None = None,
     per_batch: int = SUMMARIES_PER_BATCH,
     overwrite_stages: bool = False,
+    other_off_list: bool = False,
 ) -> DataFrame:
     """Categorised rows. Finished stages of an interrupted run are reused.
 
+    Only answers are stored: a document whose assignment failed is asked for again, once
+    in this run, and if it fails again the job ends with the stages kept. Answers that are
+    not on the list stay as given, or become ``Other`` with ``other_off_list``.
     Without models the offline stand-ins run. Assignments are stored by id: when the
     collection grew since, only the new documents are assigned.
     """
@@ -74,7 +78,8 @@ def categorise(
 
     def assign(docs: DataFrame) -> DataFrame:
         if assignment:
-            return ct.assign(docs, merged, assignment).select("id", "category")
+            answered = cut(ct.assign(docs, merged, assignment), "assigned")
+            return answered.where("status = 'completed'").select("id", "category")
         return ct.assign_by_words(docs, merged)
 
     docs = collection.select("id", "document")
@@ -84,10 +89,16 @@ def categorise(
         # Later documents join the same stage table, so they too are asked for once.
         cut(assign(missing), "late").write.mode("append").parquet(f"{work_root}/stages/assigned")
         assigned = spark.read.parquet(f"{work_root}/stages/assigned")
+        lost = docs.join(assigned.select("id"), "id", "left_anti").count()
+        if lost:
+            raise ValueError(f"{lost} documents got no category; the stages are kept in {work_root}")
+    if other_off_list:
+        assigned = ct.flag_off_list(assigned, merged, replace=True).select("id", "category")
     return ct.roll_up_rare(ct.categorised(collection, assigned))
 
 
 def run(spark: SparkSession, collection_root: str, out_path: str, **options) -> None:
     work = f"{out_path}_work"
-    write_by_category(categorise(spark, collection_root, work, **options), out_path)
+    with scratch_scope(spark):
+        write_by_category(categorise(spark, collection_root, work, **options), out_path)
     clear_stages(spark, work)

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gitloom.operators import categories as ct
@@ -30,16 +31,60 @@ def test_category_sink_keeps_both_names(spark):
     assert sorted(r.v for r in tables.read_category(spark, path, "a/b", df.schema).collect()) == [1, 2]
 
 
-def test_batch_counts_and_two_level_batches(spark):
+def test_batch_counts_and_exact_numbers_of_batches(spark):
     assert [batch_count(n, 20) for n in (0, 1, 20, 21, 100)] == [1, 1, 1, 2, 5]
     rng = np.random.RandomState(42)
     rows = [(i, [float(v) for v in x]) for i, x in enumerate(rng.randn(100, 8))]
     df = spark.createDataFrame(rows, "id int, embedding array<double>")
     flat = kmeans_batches(df, 20, restarts=2).toPandas()
     assert sorted(flat.id) == list(range(100)) and flat.batch.nunique() == 5
-    split = kmeans_batches(df, 5, restarts=1, max_centres=3).toPandas()
-    assert sorted(split.id) == list(range(100)) and 20 <= split.batch.nunique() <= 23
-    assert split.batch.value_counts().max() <= 5
+    many = kmeans_batches(df, 1, restarts=2).toPandas()
+    assert many.batch.nunique() == 100
+    # fewer distinct vectors than batches, copies stay together
+    copies = df.unionByName(df).unionByName(df).withColumn("id", F.monotonically_increasing_id())
+    few = kmeans_batches(copies.where("embedding[0] > 1"), 1, restarts=1)
+    n = df.where("embedding[0] > 1").count()
+    assert few.select("batch").distinct().count() == n and few.groupBy("batch").count().where("count != 3").isEmpty()
+
+
+def test_more_batches_than_one_block_of_centres_holds(spark):
+    rng = np.random.RandomState(1)
+    rows = [(i, [float(v) for v in x]) for i, x in enumerate(rng.randn(2600, 4))]
+    df = spark.createDataFrame(rows, "id int, embedding array<double>")
+    got = kmeans_batches(df, 2, restarts=1).toPandas()
+    assert sorted(got.id) == list(range(2600)) and got.batch.nunique() == 1300
+
+
+def test_batches_find_planted_groups(spark):
+    rows = [(i, [float(10 * (i % 4)) + (i // 4) * 0.01, float(i % 4)]) for i in range(80)]
+    got = kmeans_batches(spark.createDataFrame(rows, "id int, embedding array<double>"), 20).toPandas()
+    assert got.groupby(got.id % 4).batch.nunique().tolist() == [1] * 4 and got.batch.nunique() == 4
+
+
+def test_failures_are_not_silent(spark):
+    """A failed batch or assignment ends the job, keeps its stages and loses no document."""
+    batched = spark.createDataFrame([(0, 1, "good"), (1, 2, "bad")], "batch int, ord int, text string")
+    half = Model("d", reply=lambda p: F.when(p.contains("bad"), "junk").otherwise('{"categories": ["A"]}'))
+    with pytest.raises(ValueError, match="batch 1"):
+        ct.discover(batched, half)
+    root, work = scratch_path(spark, "col"), scratch_path(spark, "work")
+    load_frame(spark.createDataFrame([(f"h{i}", f"text {i}") for i in range(10)], "commit_hash string, semantic_summary string"), root)
+    given = spark.createDataFrame([(f"h{i}", 0) for i in range(10)], "id string, batch int")
+    odd = Model("a", reply=lambda p: F.when(p.contains("text 7"), "junk").otherwise('{"category": "Odd"}'))
+    with pytest.raises(ValueError, match="1 documents got no category"):
+        plan.categorise(spark, root, work, batches=given, assignment=odd)
+    assert spark.read.parquet(f"{work}/stages/assigned").count() == 9
+    whole = Model("a", reply=lambda p: F.lit('{"category": "Odd"}'))
+    done = plan.categorise(spark, root, work, batches=given, assignment=whole, other_off_list=True).collect()
+    assert len(done) == 10 and {r.category for r in done} == {"Other"}
+
+
+def test_long_lists_are_assigned_in_pieces(spark):
+    docs = spark.createDataFrame([("x", "doc x"), ("y", "doc y")], "id string, document string")
+    listed = spark.createDataFrame([(i, f"Cat{i}") for i in range(6)], "n long, category string")
+    choose = Model("a", reply=lambda p: F.when(p.contains("- Cat4"), '{"category": "Cat4"}').when(p.contains("- Cat1"), '{"category": "Cat1"}').otherwise('{"category": "Cat0"}'))
+    got = {r.id: (r.category, r.status) for r in ct.assign(docs, listed, choose, max_chars=14).collect()}
+    assert got == {"x": ("Cat4", "completed"), "y": ("Cat4", "completed")}
 
 
 def test_model_driven_categories(spark):
