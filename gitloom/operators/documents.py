@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import math
-import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -24,38 +21,43 @@ STUB_DIMENSIONS = 64
 
 @dataclass(frozen=True)
 class Embedder:
-    """``client`` is a factory, called once per task."""
+    """``vector`` (expression over the text) or ``client`` (factory, called once per task)."""
 
     name: str
-    client: Callable[[], EmbedClient]
+    client: Callable[[], EmbedClient] | None = None
     batch_size: int = BATCH_SIZE
+    vector: Callable[[Column], Column] | None = None
 
 
-def _stub_client() -> EmbedClient:
-    buckets: dict[str, int] = {}
+def _word_counts(text: Column) -> Column:
+    """Hashed word counts, scaled to unit length; the lists in between are made once."""
 
-    def bucket(token: str) -> int:
-        if token not in buckets:
-            digest = hashlib.md5(token.encode("utf-8", "replace")).hexdigest()
-            buckets[token] = int(digest[:4], 16) % STUB_DIMENSIONS
-        return buckets[token]
+    def bucket(token: Column) -> Column:
+        digits = F.conv(F.substring(F.md5(token.cast("binary")), 1, 4), 16, 10)
+        return F.pmod(digits.cast("int"), F.lit(STUB_DIMENSIONS))
 
-    def embed(texts: list[str]) -> list[list[float]]:
-        vectors = []
-        for text in texts:
-            counts = [0.0] * STUB_DIMENSIONS
-            for token in re.split("[ \n]+", text):
-                counts[bucket(token)] += 1.0
-            length = math.sqrt(sum(x * x for x in counts)) or 1.0
-            vectors.append([x / length for x in counts])
-        return vectors
+    def counted(buckets: Column) -> Column:
+        slots = F.sequence(F.lit(0), F.lit(STUB_DIMENSIONS - 1))
+        return F.transform(
+            slots, lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double")
+        )
 
-    return embed
+    def scaled(counts: Column) -> Column:
+        total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x)
+        lengths = F.transform(F.array(F.sqrt(total)), lambda n: F.when(n == 0, 1.0).otherwise(n))
+        return F.element_at(
+            F.transform(lengths, lambda n: F.transform(counts, lambda x: (x / n).cast("float"))), 1
+        )
+
+    value = F.transform(F.split(text, "[ \n]+"), bucket)
+    for step in (counted, scaled):
+        value = F.element_at(F.transform(F.array(value), step), 1)
+    return value
 
 
 def stub_embedder() -> Embedder:
-    """Offline stand-in: hashed word counts, scaled to unit length."""
-    return Embedder("stub", _stub_client)
+    """Offline stand-in: hashed word counts as built-in expressions."""
+    return Embedder("stub", vector=_word_counts)
 
 
 def valid_summaries(df: DataFrame, column: str = "semantic_summary") -> DataFrame:
@@ -83,7 +85,9 @@ def metadata_value(key: str, column: str = "metadata") -> Column:
 
 
 def embed_column(df: DataFrame, text_col: str, embedder: Embedder) -> DataFrame:
-    """Add ``embedding``; the client sees slices of ``batch_size`` texts in row order."""
+    """Add ``embedding``; a client sees slices of ``batch_size`` texts in row order."""
+    if embedder.vector is not None:
+        return df.withColumn("embedding", embedder.vector(F.col(text_col)))
     schema = T.StructType([*df.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
     factory, size = embedder.client, embedder.batch_size
 
@@ -116,6 +120,11 @@ def unseen(docs: DataFrame, ids: DataFrame, key: str = "commit_hash") -> DataFra
     return docs.join(ids.select(F.col("id").alias(key)), key, "left_anti")
 
 
+def id_difference(docs: DataFrame, ids: DataFrame, key: str = "commit_hash") -> DataFrame:
+    """``id`` of the documents that ``ids`` does not hold, each of a repeated id counted off once."""
+    return docs.select(F.col(key).alias("id")).exceptAll(ids.select("id"))
+
+
 def dimensions(df: DataFrame, column: str = "embedding") -> DataFrame:
     """Number of vectors per dimension; more than one row means a mixed collection."""
     return df.groupBy(F.size(column).alias("dim")).agg(F.count("*").alias("n"))

@@ -13,8 +13,9 @@ from gitloom.operators.documents import (
     stub_embedder,
     to_collection,
     unseen,
+    valid_summaries,
 )
-from gitloom.session import cut
+from gitloom.session import cut, scratch_scope
 from gitloom.sources import collection as store
 from gitloom.sources.tables import read_summaries
 
@@ -26,26 +27,38 @@ def load_frame(
     root: str,
     mode: str = "full",
     embedder: Embedder | None = None,
-    order: Sequence[str] = ("repo_id", "semantic_summary"),
+    order: Sequence[str] | None = None,
 ) -> int:
-    """Returns the number of documents written. With nothing to load, nothing is dropped."""
+    """Returns the number of documents written. With nothing to load, nothing is dropped.
+
+    The first summary of a commit in ``order`` is loaded, by default in the ordinal that
+    the summaries were stored with (``ord``). A table without it must not repeat a commit.
+    """
     if mode not in ("full", "incremental"):
         raise ValueError(f"unknown mode: {mode}")
     for name, kind in OPTIONAL_COLUMNS.items():
         if name not in summaries.columns:
             summaries = summaries.withColumn(name, F.lit(None).cast(kind))
-    docs = prepare_documents(summaries, order)
     spark = summaries.sparkSession
+    if order is None and "ord" in summaries.columns:
+        order = ["ord"]
+    if order is None:
+        repeated = valid_summaries(summaries).groupBy("commit_hash").count().where("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError("commits repeat and no column 'ord' says which row comes first: pass order")
+        order = ["commit_hash"]
+    docs = prepare_documents(summaries, order)
     if mode == "incremental":
         docs = unseen(docs, store.existing_ids(spark, root))
-    # The embedding calls are made once, here; counting and writing read the stored result.
-    ready = cut(to_collection(docs, embedder or stub_embedder()), "documents")
-    n = ready.count()
-    if n:
-        if mode == "full":
-            store.replace_all(ready, root)
-        else:
-            store.append_new(ready, root)
+    with scratch_scope(spark):
+        # The embedding calls are made once, here; counting and writing read the stored result.
+        ready = cut(to_collection(docs, embedder or stub_embedder()), "documents")
+        n = ready.count()
+        if n:
+            if mode == "full":
+                store.replace_all(ready, root)
+            else:
+                store.append_new(ready, root)
     return n
 
 

@@ -6,7 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from gitloom.operators import clusters as cl
-from gitloom.operators.documents import Embedder, embed_column, metadata_map, metadata_value, require_one_dimension
+from gitloom.operators.documents import (
+    Embedder,
+    embed_column,
+    metadata_map,
+    metadata_value,
+    require_one_dimension,
+    stub_embedder,
+)
 from gitloom.plans.load import load_frame, load_summaries
 from gitloom.schemas import SUMMARIES
 from gitloom.session import scratch_path
@@ -15,7 +22,7 @@ from gitloom.streaming.incremental import stream_summaries
 
 
 def summaries(spark, *rows):
-    return spark.createDataFrame([("o/r", h, "m", None, None, s, "stub") for h, s in rows], SUMMARIES)
+    return spark.createDataFrame([("o/r", h, "m", None, None, s, "stub", n) for n, (h, s) in enumerate(rows)], SUMMARIES)
 
 
 def stored(spark, root):
@@ -40,6 +47,37 @@ def test_full_and_incremental(spark):
         load_frame(summaries(spark), root, "other")
 
 
+def test_the_first_summary_by_ordinal_is_loaded(spark):
+    root = scratch_path(spark, "c")
+    rows = summaries(spark, ("a", "zeta first"), ("a", "alpha second"), ("b", "only"))
+    assert load_frame(rows, root) == 2
+    assert stored(spark, root) == {"a": "zeta first", "b": "only"}
+    with pytest.raises(ValueError, match="pass order"):
+        load_frame(rows.drop("ord"), root)
+    assert load_frame(rows.where("commit_hash = 'b'").drop("ord"), root) == 1
+
+
+def test_upsert_embeds_once_and_stores_an_id_once(spark, tmp_path):
+    root, log = scratch_path(spark, "c"), str(tmp_path / "log")
+
+    def factory():
+        def client(texts):
+            with open(log, "a") as f:
+                f.writelines("text\n" for _ in texts)
+            return [[float(len(t))] for t in texts]
+
+        return client
+
+    base = spark.createDataFrame([(f"i{n}", f"d{n}", {"k": "v"}) for n in range(10)], "id string, document string, metadata map<string,string>")
+    store.replace_all(embed_column(base, "document", stub_embedder()), root)
+    more = base.withColumn("document", F.concat("document", F.lit(" new")))
+    store.upsert(embed_column(more, "document", Embedder("counting", factory)), root)
+    assert sum(1 for _ in open(log)) == 10
+    again = embed_column(more.unionByName(more), "document", stub_embedder())
+    store.upsert(again, root)
+    assert len(stored(spark, root)) == store.read_collection(spark, root).count() == 10
+
+
 def test_missing_input(spark):
     with pytest.raises(FileNotFoundError):
         load_summaries(spark, scratch_path(spark, "nothing"), scratch_path(spark, "c"))
