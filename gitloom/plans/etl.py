@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gitloom.functions.text import sanitize_utf8
 from gitloom.operators.file_diffs import explode_files
 from gitloom.operators.linking import with_pull_request
+from gitloom.session import scratch_scope
 from gitloom.sources.dumps import normalise_commits, normalise_prs, read_commit_dump, read_pr_pages
 from gitloom.sources.tables import write_by_repo
 
@@ -34,9 +35,29 @@ def build_file_diffs(commits: DataFrame, prs: DataFrame, drop_preamble: bool = F
     )
 
 
+def rejected_rows(commits: DataFrame, prs: DataFrame) -> DataFrame:
+    """``kind, repo_id, id, missing_fields`` of the rows that the ETL cannot take."""
+    _, bad_commits = normalise_commits(commits)
+    _, bad_prs = normalise_prs(prs)
+
+    def named(rows: DataFrame, kind: str, key: str) -> DataFrame:
+        return rows.select(
+            F.lit(kind).alias("kind"), "repo_id", F.col(key).cast("string").alias("id"), "missing_fields"
+        )
+
+    return named(bad_commits, "commit", "commit_hash").unionByName(
+        named(bad_prs, "pull request", "pr_id")
+    )
+
+
 def run(
     spark: SparkSession, commit_path: str, pr_path: str, out_path: str, commit_format: str = "json"
-) -> bool:
+) -> dict[str, int | bool]:
+    """``written`` (were there rows) and ``rejected``, the number of rows in ``<out>_rejects``."""
     commits = read_commit_dump(spark, commit_path, commit_format)
     prs = read_pr_pages(spark, pr_path)
-    return write_by_repo(build_file_diffs(commits, prs), out_path)
+    rejects = f"{out_path}_rejects"
+    with scratch_scope(spark):
+        rejected_rows(commits, prs).write.mode("overwrite").parquet(rejects)
+        written = write_by_repo(build_file_diffs(commits, prs), out_path)
+    return {"written": written, "rejected": spark.read.parquet(rejects).count()}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gitloom.sources.paths import path_exists
+from gitloom.session import observed
+from gitloom.sources.paths import path_exists, remove
 
 # Upper bound on the rows of one file, so that a large partition is many files.
 ROWS_PER_FILE = 1_000_000
@@ -21,7 +22,7 @@ def read_checked(
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Input not found: {path}")
     reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
+    df = import_view(reader.parquet(path))
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
@@ -36,21 +37,32 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     return read_checked(spark, path, ["commit_hash", "semantic_summary"])
 
 
+def _by_folder(df: DataFrame, folder: str) -> DataFrame:
+    """Rows of a folder together: Spark splits large folders and joins small ones by bytes
+    (``advisoryPartitionSizeInBytes``), so files do not multiply with tasks."""
+    return df.hint("rebalance", folder)
+
+
 def write_by_repo(df: DataFrame, path: str) -> bool:
-    """Replace the partitions of the repos in ``df``; write nothing when it is empty.
+    """Replace the partitions of the repos in ``df``; write nothing, and say so, without rows.
 
-    Only the repos present are overwritten, so a rerun does not add rows twice.
+    Only the repos present are overwritten, so a rerun does not add rows twice. The rows
+    are counted while they are written, so ``df`` is evaluated once.
     """
-    if df.isEmpty():
-        return False
+    spark, seen = df.sparkSession, Observation()
+    existed = path_exists(spark, path)
     (
-        df.write.mode("overwrite")
+        _by_folder(df.observe(seen, F.count(F.lit(1)).alias("n")), "repo_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy("repo_id")
         .parquet(path)
     )
-    return True
+    written = (observed(seen) or {"n": 0})["n"] > 0
+    if not written and not existed:
+        remove(spark, path)
+    return written
 
 
 def append_summaries(df: DataFrame, path: str, per_commit_folders: bool = False) -> None:
@@ -60,7 +72,7 @@ def append_summaries(df: DataFrame, path: str, per_commit_folders: bool = False)
     as many files as commits.
     """
     folders = ["repo_id", "commit_hash"] if per_commit_folders else ["repo_id"]
-    df.write.mode("append").partitionBy(*folders).parquet(path)
+    _by_folder(df, folders[-1]).write.mode("append").partitionBy(*folders).parquet(path)
 
 
 def write_by_category(df: DataFrame, path: str) -> None:
@@ -68,9 +80,10 @@ def write_by_category(df: DataFrame, path: str) -> None:
 
     The category stays a column, so ``A/B`` and ``A_B`` share a folder but not a name.
     """
+    kept = df.where(F.col("category").isNotNull())
+    folders = kept.withColumn("category_dir", F.replace("category", F.lit("/"), F.lit("_")))
     (
-        df.where(F.col("category").isNotNull())
-        .withColumn("category_dir", F.replace("category", F.lit("/"), F.lit("_")))
+        _by_folder(folders, "category_dir")
         .write.mode("overwrite")
         # A rerun may move commits to other categories: old folders must go.
         .option("partitionOverwriteMode", "static")
@@ -152,6 +165,12 @@ EXPORT_NAMES = {
 }
 
 
+def import_view(df: DataFrame) -> DataFrame:
+    """The columns of :data:`EXPORT_NAMES` under their own names again; others stay."""
+    spaced = {v: k for k, v in EXPORT_NAMES.items() if v in df.columns and k not in df.columns}
+    return df.withColumnsRenamed(spaced)
+
+
 def export_view(df: DataFrame) -> DataFrame:
     """Spaced column names for readers of the older table layout."""
     return df.withColumnsRenamed({k: v for k, v in EXPORT_NAMES.items() if k in df.columns})

@@ -1,12 +1,14 @@
 """Commit to pull request links and the whole transformation."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from gitloom.operators.linking import first_pr_per_commit, with_pull_request
 from gitloom.plans.etl import build_file_diffs, run
 from gitloom.schemas import COMMITS, PRS
-from gitloom.session import scratch_path
+from gitloom.session import scratch_path, scratch_root
 from gitloom.sources.dumps import normalise_commits, read_commit_dump, read_pr_pages
+from gitloom.sources.paths import child_names
 from gitloom.sources.tables import read_file_diffs, write_by_repo
 
 HASH_A, HASH_B = "abc1234" + "0" * 33, "def5678" + "1" * 33
@@ -76,13 +78,50 @@ def test_dump_to_parquet_and_back(spark):
     assert [(r.repo_id, r.pr_id, r.user) for r in read_pr_pages(spark, pages).collect()] == [("o/r", 4, "u")]
     assert read_pr_pages(spark, pages + "-missing").isEmpty()
     for _ in range(2):  # a rerun replaces, it does not add
-        assert run(spark, source, pages, out)
+        assert run(spark, source, pages, out) == {"written": True, "rejected": 0}
     rows = read_file_diffs(spark, out).collect()
     assert sorted((r.repo_id, r.commit_hash, r.pr_id) for r in rows) == [
         ("o/r", "1234567", 4), ("o/r", "12e4567", None), ("p/q", "abc", None),
     ]
 
 
+def test_rows_that_lack_a_field_are_kept_apart(spark):
+    source, pages, out = (scratch_path(spark, x) for x in ("dump", "pages", "out"))
+    rows = commits(spark, ("o/r", "aaa1111", ""), ("o/r", "bbb2222", "")).withColumn(
+        "message", F.when(F.col("commit_hash") == "aaa1111", F.lit("m"))
+    )
+    rows.write.partitionBy("repo_id").json(source)
+    assert run(spark, source, pages, out) == {"written": True, "rejected": 1}
+    assert [(r.kind, r.id, r.missing_fields) for r in spark.read.parquet(f"{out}_rejects").collect()] == [
+        ("commit", "bbb2222", ["message"])
+    ]
+
+
+def test_files_follow_bytes_not_tasks(spark):
+    path = scratch_path(spark, "files")
+    rows = spark.range(2000).selectExpr("'r' || id % 20 as repo_id", "id as v").repartition(16)
+    assert write_by_repo(rows, path) is True
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert 20 <= files <= 40
+
+
+def test_jobs_leave_no_scratch_tables(spark):
+    source, pages, out = (scratch_path(spark, x) for x in ("dump", "pages", "out"))
+    commits(spark, ("o/r", "aaa1111", "diff --git a b\n+1")).write.partitionBy("repo_id").json(source)
+    before = set(child_names(spark, scratch_root(spark)))
+    run(spark, source, pages, out)
+    made = set(child_names(spark, scratch_root(spark))) - before
+    assert made == {out.rsplit("/")[-1], out.rsplit("/")[-1] + "_rejects"}
+
+
+def test_tables_with_spaced_names_can_be_read(spark):
+    path = scratch_path(spark, "spaced")
+    rows = [("o/r", "abc", "msg", "--- a/x\n+1", None, None)]
+    names = "`Repo ID` string, `commit hash` string, `commit message` string, diff string, `PR message` string, `PR ID` long"
+    spark.createDataFrame(rows, names).write.option("compression", "none").parquet(path)
+    assert read_file_diffs(spark, path).columns == ["repo_id", "commit_hash", "commit_message", "diff", "pr_message", "pr_id"]
+
+
 def test_empty_sink_and_checked_scan(spark):
     path = scratch_path(spark, "none")
     assert write_by_repo(commits(spark).drop("x"), path) is False
