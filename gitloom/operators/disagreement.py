@@ -103,9 +103,8 @@ def with_summaries(top: DataFrame, runs: DataFrame, order: Sequence[str]) -> Dat
     wanted = top.select(
         "commit_hash", F.explode(F.array("source_1", "source_2")).alias("source_file")
     ).distinct()
-    # ``top`` is a limited report, so the wanted rows are at most twice its length.
     found = keep_first(
-        runs.join(F.broadcast(wanted), ["commit_hash", "source_file"], "left_semi"),
+        runs.join(wanted, ["commit_hash", "source_file"], "left_semi"),
         ["commit_hash", "source_file"],
         order,
     ).select("commit_hash", "source_file", "semantic_summary")
