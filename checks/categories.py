@@ -12,6 +12,7 @@ from gitloom.operators import disagreement as ds
 from gitloom.operators.documents import stub_embedder, to_collection
 from gitloom.operators.ordering import ordered_prefix
 from gitloom.plans import categorise as plan
+from gitloom.plans.analyse import analyse
 from gitloom.session import scratch_path
 from gitloom.sources import collection as store
 from gitloom.sources import tables
@@ -308,6 +309,15 @@ def zscores(spark, sf):
     )
 
 
+def analysed(spark, sf):
+    """The largest gaps of the whole chain, without two commits."""
+    top = analyse(runs(spark, sf), ["semantic_summary"], ["12", "40"]).top
+    return top.select(
+        "commit_hash", "source_1", "source_2", F.round("distance_zscore", 6).alias("zscore"),
+        c.md5_of("summary_1", "md5_1"), c.md5_of("summary_2", "md5_2"),
+    )
+
+
 def statistics(spark, sf):
     """Mean and deviation before and after leaving out one commit."""
     pairs = _pairs(spark, sf)
@@ -331,10 +341,9 @@ def column_counts(spark, sf):
 
 
 def ranked(spark, sf):
-    """The ranking's first rows by euclidean distance."""
-    return _rounded(
-        ds.top_pairs(_pairs(spark, sf), ["commit_hash", "source_1", "source_2"], "euclidean", 25), "euclidean"
-    ).select("commit_hash", "source_1", "source_2", "euclidean")
+    """The whole ranking by euclidean distance."""
+    order = ["commit_hash", "source_1", "source_2"]
+    return _rounded(ds.rank_pairs(_pairs(spark, sf), order, "euclidean"), "euclidean").select(*order, "euclidean")
 
 
 def top_ten(spark, sf):
@@ -465,6 +474,16 @@ CHECKS = {
         f"with {D_PAIRS}, s as (select avg(distance) as m, stddev_samp(distance) as sd from distances) "
         "select commit_hash, source_1, source_2, round((distance - m) / sd, 6) as distance_zscore from distances, s",
     ),
+    "r05_analyse": (
+        analysed,
+        f"with {D_PAIRS}, kept as (select * from distances where commit_hash not in ('12', '40')), "
+        "s as (select avg(distance) as m, stddev_samp(distance) as sd from kept), "
+        "top as (select * from kept order by distance desc nulls last, commit_hash, source_1, source_2 limit 10) "
+        "select top.commit_hash, source_1, source_2, round((distance - m) / sd, 6) as zscore, "
+        "md5(r1.semantic_summary) as md5_1, md5(r2.semantic_summary) as md5_2 from s, top join runs r1 "
+        "on r1.commit_hash = top.commit_hash and r1.source_file = source_1 join runs r2 "
+        "on r2.commit_hash = top.commit_hash and r2.source_file = source_2",
+    ),
     "a12_distance_stats": (
         statistics,
         f"with {D_PAIRS} select 'all' as kind, round(avg(distance), 6) as mean, round(stddev_samp(distance), 6) as std "
@@ -486,7 +505,7 @@ CHECKS = {
     "t01_rank_pairs": (
         ranked,
         f"with {D_PAIRS} select commit_hash, source_1, source_2, round(euclidean, 6) as euclidean from distances "
-        "order by distances.euclidean desc, commit_hash, source_1, source_2 limit 25",
+        "order by distances.euclidean desc, commit_hash, source_1, source_2",
     ),
     "t02_top_pairs": (
         top_ten,

@@ -64,8 +64,8 @@ def new_documents(spark, sf):
 
 
 def id_difference(spark, sf):
-    ids = dc.prepare_documents(c.summaries(spark, sf), ["ord"]).select(F.col("commit_hash").alias("id"))
-    return ids.exceptAll(_seen_ids(spark, sf))
+    docs = dc.prepare_documents(c.summaries(spark, sf), ["ord"])
+    return dc.id_difference(docs, _seen_ids(spark, sf))
 
 
 def embedded(spark, sf):
@@ -87,8 +87,8 @@ D_EMBEDDED = (
 def embedded_texts(spark, sf):
     docs = c.table(spark, sf, "benchmark").select("item_id", "text")
     return dc.embed_column(docs, "text", dc.stub_embedder()).select(
-        "item_id", F.size("embedding").alias("dim"), (F.round(vx.norm(F.col("embedding")), 3)).alias("length")
-    )
+        "item_id", F.size("embedding").alias("dim"), F.posexplode("embedding").alias("pos", "x")
+    ).where("x > 0").select("item_id", "dim", "pos", F.round(F.col("x").cast("double"), 4).alias("x"))
 
 
 def _halves(spark, sf):
@@ -99,8 +99,8 @@ def _halves(spark, sf):
 def full_load(spark, sf):
     root = scratch_path(spark, "full")
     part, rows = _halves(spark, sf)
-    load_frame(part, root, "full", order=["ord"])
-    load_frame(rows, root, "full", order=["ord"])
+    load_frame(part, root, "full")
+    load_frame(rows, root, "full")
     return store.read_collection(spark, root).select("id", F.md5("document").alias("document_md5"))
 
 
@@ -108,8 +108,8 @@ def incremental_load(spark, sf):
     """Even rows first, then everything: the second load adds only unseen ids."""
     root = scratch_path(spark, "incremental")
     part, rows = _halves(spark, sf)
-    load_frame(part, root, "full", order=["ord"])
-    load_frame(rows, root, "incremental", order=["ord"])
+    load_frame(part, root, "full")
+    load_frame(rows, root, "incremental")
     return store.read_collection(spark, root).select("id", F.md5("document").alias("document_md5"))
 
 
@@ -117,11 +117,15 @@ def upserted(spark, sf):
     root = scratch_path(spark, "upsert")
     docs = dc.to_collection(dc.prepare_documents(c.summaries(spark, sf), ["ord"]), dc.stub_embedder())
     store.replace_all(docs, root)
-    changed = docs.join(_seen_ids(spark, sf), "id", "left_semi").withColumn("document", F.lit("changed"))
-    store.upsert(changed, root)
-    return store.read_collection(spark, root).groupBy(
-        (F.col("document") == "changed").alias("changed")
-    ).agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"))
+    changed = docs.join(_seen_ids(spark, sf), "id", "left_semi").select(
+        "id", F.concat(F.lit("changed "), "id").alias("document"), "metadata"
+    )
+    renewed = dc.embed_column(changed, "document", dc.stub_embedder())
+    store.upsert(renewed.unionByName(renewed), root)  # a repeated id is stored once
+    vector = F.array_join(F.transform("embedding", lambda x: (x > 0).cast("int")), "")
+    return store.read_collection(spark, root).select(
+        "id", F.md5("document").alias("document_md5"), vector.alias("slots")
+    )
 
 
 def scanned(spark, sf):
@@ -176,7 +180,10 @@ def centroid_rows(spark, sf):
 
 def centroid_join(spark, sf):
     return cl.with_centroid(labelled(spark, sf)).select(
-        "vec_id", "cluster_id", F.round(F.try_element_at("centroid", F.lit(1)), 6).alias("m0")
+        "vec_id", "cluster_id", F.explode_outer("centroid").alias("m")
+    ).groupBy("vec_id", "cluster_id").agg(
+        F.count("m").alias("dim"), F.round(F.sum("m"), 6).alias("total"),
+        F.round(F.sum(F.col("m") * F.col("m")), 6).alias("squares"),
     )
 
 
@@ -263,7 +270,9 @@ CHECKS = {
     ),
     "m05_embed_texts": (
         embedded_texts,
-        "select item_id, 64 as dim, cast(1.0 as double) as length from benchmark",
+        f"with first_valid as (select item_id as commit_hash, text as semantic_summary from benchmark), "
+        f"{D_EMBEDDED} select commit_hash as item_id, 64 as dim, pos, "
+        "round(cast(n / len as float)::double, 4) as x from counted join lengths using (commit_hash)",
     ),
     "s08_full_load": (
         full_load,
@@ -280,8 +289,14 @@ CHECKS = {
     ),
     "s10_upsert": (
         upserted,
-        f"with {c.D_SUMMARIES}, {c.D_VALID} select commit_hash in (select md5(cast(doc_id as varchar)) from labels) "
-        "as changed, count(*) as n, count(distinct commit_hash) as n_ids from first_valid group by 1",
+        f"with {c.D_SUMMARIES}, {c.D_VALID}, now as (select commit_hash, case when commit_hash in "
+        "(select md5(cast(doc_id as varchar)) from labels) then 'changed ' || commit_hash "
+        "else semantic_summary end as document from first_valid), used as (select distinct commit_hash, "
+        "cast(('0x' || substr(md5(w), 1, 4)) as int) % 64 as pos from (select commit_hash, "
+        "unnest(regexp_split_to_array(document, '[ \\n]+')) as w from now)), held as (select commit_hash, "
+        "list(pos) as p from used group by 1) select commit_hash as id, md5(document) as document_md5, "
+        "array_to_string(list_transform(range(64), lambda i: case when list_contains(p, i) then '1' else '0' end), '') "
+        "as slots from now join held using (commit_hash)",
     ),
     "s11_collection_scan": (
         scanned,
@@ -299,8 +314,8 @@ CHECKS = {
     ),
     "j12_centroid_join": (
         centroid_join,
-        f"with {D_LABELLED} select vec_id, cluster_id, round(m, 6) as m0 from labelled left join "
-        "(select * from centers where pos = 0) using (cluster_id)",
+        f"with {D_LABELLED} select vec_id, cluster_id, count(m) as dim, round(sum(m), 6) as total, "
+        "round(sum(m * m), 6) as squares from labelled left join centers using (cluster_id) group by all",
     ),
     "v01_centroid_distance": (
         centroid_distances,

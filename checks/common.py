@@ -37,18 +37,35 @@ def commits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A pull request for every turn; it names one of the commits, all of which are named in turn.
+_PR_COLUMNS = (
+    "'org/src' || (n % 20) as repo_id, pr_id, pr_id as pr_ord, 'PR ' || pr_id as title, "
+    "coalesce(text, '') || ' fixes ' || substr(md5(cast(n as {text})), 1, cast(7 + pr_id % 20 as int)) "
+    "as body, 'user' || pr_id % 7 as {user}, '2024-01-01T00:00:00Z' as created_at, "
+    "case when pr_id % 2 = 0 then '2024-01-02T00:00:00Z' end as merged_at"
+)
+_PR_ID = "conv_id * 1000 + turn"
+_PR_STEP = "conv_id * 37 + turn * 101"
+
+
 def prs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations").where("turn = 0").selectExpr(
-        "'org/src' || ((conv_id % 50) % 20) as repo_id",
-        "conv_id as pr_id",
-        "conv_id as pr_ord",
-        "'PR ' || conv_id as title",
-        "coalesce(text, '') || ' fixes ' || "
-        "substr(md5(cast(conv_id % 50 as string)), 1, cast(7 + conv_id % 20 as int)) as body",
-        "'user' || conv_id % 7 as user",
-        "'2024-01-01T00:00:00Z' as created_at",
-        "case when conv_id % 2 = 0 then '2024-01-02T00:00:00Z' end as merged_at",
-    )
+    """Every turn of every conversation as a pull request."""
+    total = table(spark, sf, "documents").agg(F.count("*")).scalar()
+    turns = table(spark, sf, "conversations").selectExpr(f"{_PR_ID} as pr_id", f"{_PR_STEP} as step", "text")
+    numbered = turns.withColumn("n", F.pmod("step", total))
+    return numbered.selectExpr(*_split_columns(_PR_COLUMNS.format(text="string", user="user")))
+
+
+def _split_columns(listing: str) -> list[str]:
+    """The expressions of a select list; commas inside brackets do not part them."""
+    out, depth = [""], 0
+    for c in listing:
+        depth += (c == "(") - (c == ")")
+        if c == "," and depth == 0:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
 
 
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,12 +120,9 @@ D_COMMITS = (
 )
 
 D_PRS = (
-    "prs as (select 'org/src' || ((conv_id % 50) % 20) as repo_id, conv_id as pr_id, "
-    "conv_id as pr_ord, 'PR ' || conv_id as title, coalesce(text, '') || ' fixes ' || "
-    "substr(md5(cast(conv_id % 50 as varchar)), 1, cast(7 + conv_id % 20 as int)) as body, "
-    "'user' || conv_id % 7 as \"user\", '2024-01-01T00:00:00Z' as created_at, "
-    "case when conv_id % 2 = 0 then '2024-01-02T00:00:00Z' end as merged_at "
-    "from conversations where turn = 0)"
+    "turns as (select *, step % (select count(*) from documents) as n from "
+    f"(select {_PR_ID} as pr_id, {_PR_STEP} as step, text from conversations)), "
+    f"prs as (select {_PR_COLUMNS.format(text='varchar', user=chr(34) + 'user' + chr(34))} from turns)"
 )
 
 D_PIECES = (

@@ -9,7 +9,8 @@ from gitloom.functions import text as tx
 from gitloom.operators.file_diffs import explode_files
 from gitloom.operators.linking import first_pr_per_commit, match_commits, with_pull_request
 from gitloom.plans.etl import build_file_diffs
-from gitloom.session import cut, scratch_path
+from gitloom.plans.etl import run as run_etl
+from gitloom.session import scratch_path
 from gitloom.sources import dumps
 from gitloom.sources.tables import append_repos, read_file_diffs, write_by_repo
 
@@ -70,6 +71,30 @@ def file_diff_sink(spark, sf):
     )
 
 
+def etl_rejects(spark, sf):
+    """The whole job over saved inputs of which some lack a field."""
+    path, out = scratch_path(spark, "etl-in"), scratch_path(spark, "etl-out")
+    c.commits(spark, sf).withColumn(
+        "message", F.expr("case when commit_ord % 23 = 0 then null else message end")
+    ).write.partitionBy("repo_id").json(f"{path}/commits")
+    pages = c.prs(spark, sf).select(
+        "repo_id", F.lit(0).alias("page"),
+        F.to_json(F.array(F.struct(
+            F.col("pr_id").alias("id"), F.expr("case when pr_id % 5 = 0 then null else title end").alias("title"),
+            "body", F.struct(F.col("user").alias("login")).alias("user"), "created_at",
+        ))).alias("value"),
+    )
+    pages.write.partitionBy("repo_id", "page").text(f"{path}/pulls")
+    run_etl(spark, f"{path}/commits", f"{path}/pulls", out)
+    stored = read_file_diffs(spark, out).select(
+        F.lit("stored").alias("kind"), F.col("commit_hash").alias("id"), F.lit("").alias("missing")
+    )
+    rejected = spark.read.parquet(f"{out}_rejects")
+    return stored.distinct().unionByName(
+        rejected.select("kind", "id", F.array_join("missing_fields", ",").alias("missing"))
+    )
+
+
 def repo_ids(spark, sf):
     return c.table(spark, sf, "pages").select(
         "page_id", tx.repo_id_from_url(F.concat("url", F.lit("//"))).alias("repo_id")
@@ -110,8 +135,13 @@ def search_text(spark, sf):
 
 
 def sanitised(spark, sf):
+    """Every third text gets a byte that is no UTF-8 in the middle."""
+    odd = F.concat(
+        F.substring("text", 1, 5).cast("binary"), F.unhex(F.lit("FF")), F.expr("substring(text, 6)").cast("binary")
+    )
+    text = F.when(F.col("doc_id") % 3 == 0, odd.cast("string")).otherwise(F.col("text"))
     return c.table(spark, sf, "documents").select(
-        "doc_id", F.md5(tx.sanitize_utf8(F.col("text"))).alias("text_md5")
+        "doc_id", F.md5(tx.sanitize_utf8(text)).alias("text_md5")
     )
 
 
@@ -176,6 +206,13 @@ CHECKS = {
         "else cast(length(diff) as int) end as diff_chars, "
         "case when commit_ord % 23 = 0 then 'message' else '' end as missing from commits",
     ),
+    "s03_etl_rejects": (
+        etl_rejects,
+        f"with {c.D_COMMITS}, {c.D_PRS} select 'stored' as kind, commit_hash as id, '' as missing from commits "
+        "where commit_ord % 23 <> 0 union all select 'commit', commit_hash, 'message' from commits "
+        "where commit_ord % 23 = 0 union all select 'pull request', cast(pr_id as varchar), 'title' from prs "
+        "where pr_id % 5 = 0",
+    ),
     "s04_repo_partitioned_sink": (
         file_diff_sink,
         f"with {c.D_COMMITS}, {c.D_PIECES} select repo_id, count(*) as n, "
@@ -206,7 +243,11 @@ CHECKS = {
         f"with {c.D_PRS} select pr_id, md5(case when pr_id % 5 = 0 then '' else title || ' ' end || "
         "case when pr_id % 3 = 0 then '' else body end) as text_md5 from prs",
     ),
-    "p06_sanitize_utf8": (sanitised, "select doc_id, md5(text) as text_md5 from documents"),
+    "p06_sanitize_utf8": (
+        sanitised,
+        "select doc_id, md5(case when doc_id % 3 = 0 then substr(text, 1, 5) || '?' || substr(text, 6) "
+        "else text end) as text_md5 from documents",
+    ),
     "a04_distinct_hashes": (
         token_sets,
         f"with {c.D_PRS} select pr_id, cast(len(list_distinct(regexp_extract_all(body, "

@@ -254,17 +254,17 @@ D_SUMMARISED = (
 
 
 def no_changes(spark, sf):
-    only_blank = doc_files(spark, sf).withColumn(
-        "diff", F.expr("case when commit_ord % 3 = 0 then ' ' else diff end")
-    )
-    files = sm.summarisable_files(only_blank)
-    per_commit = files.groupBy(*sm.COMMIT_KEYS).agg(F.count("*").alias("n_files"))
-    return sm.commits_per_hash(only_blank).select(*sm.COMMIT_KEYS).join(
-        per_commit, list(sm.COMMIT_KEYS), "left"
-    ).select(
-        "commit_hash",
-        F.when(F.col("n_files").isNull(), sm.NO_CHANGES).alias("semantic_summary"),
+    only_blank = doc_files(spark, sf).withColumns(
+        {
+            "diff": F.expr("case when commit_ord % 3 = 0 then ' ' else diff end"),
+            "pr_message": F.lit(None).cast("string"),
+            "pr_id": F.lit(None).cast("long"),
+        }
     )
+    none = spark.createDataFrame([], FILE_SUMMARIES)
+    made = plan.summarise_commits(only_blank, none, stub_model("file_summary"), stub_model("semantic_summary"))
+    summary = F.col("semantic_summary")
+    return made.select("commit_hash", F.when(summary == sm.NO_CHANGES, summary).alias("semantic_summary"))
 
 
 def grouped(spark, sf):
@@ -320,12 +320,11 @@ def run_states(spark, sf):
 
 
 def totals(spark, sf):
-    rows = doc_files(spark, sf)
-    return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("commit_hash").alias("n_commits"))
+    return sm.row_totals(doc_files(spark, sf))
 
 
 def distinct_commits(spark, sf):
-    return c.summaries(spark, sf).agg(F.count_distinct("commit_hash").alias("n_commits"))
+    return sm.distinct_commits(c.summaries(spark, sf))
 
 
 def short_hashes(spark, sf):
