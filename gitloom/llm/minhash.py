@@ -155,7 +155,7 @@ def bucket_members(classes: DataFrame) -> DataFrame:
     """``bucket, band, cid, turn`` for buckets of two classes or more.
 
     ``turn`` says when a member is compared with the rest of its bucket: one at turn 0,
-    about four times as many at each later turn, so m classes take about log4(m) turns.
+    about eight times as many at each later turn, so m classes take about log8(m) turns.
     """
     entries = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid")
     shared = (
@@ -164,7 +164,7 @@ def bucket_members(classes: DataFrame) -> DataFrame:
         .where("m > 1")
     )
     lot = F.shiftrightunsigned(F.xxhash64("cid", "bucket"), 11) / float(1 << 53)
-    later = 1 + F.floor(F.log(4.0, F.greatest(F.lit(1.0), lot * F.col("m"))))
+    later = 1 + F.floor(F.log(8.0, F.greatest(F.lit(1.0), lot * F.col("m"))))
     turn = F.when(F.col("cid") == F.col("first"), 0).otherwise(later.cast("int"))
     return entries.join(shared, "bucket").select("bucket", "band", "cid", turn.alias("turn"))
 
