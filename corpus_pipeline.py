@@ -44,8 +44,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten documents or more share go; a document that has nothing else goes."""
-    kept = line_dedup.drop_frequent_lines(_packed(docs), MIN_LINE_DOCS, MIN_LINE_CHARS)
+    """Lines that ten groups of near copies or more share go; a document that has nothing
+    else goes.
+
+    A text without near copies is a group of its own. Copies and near copies count once, so
+    that no group loses its text here before the next stage keeps one of it.
+    """
+    kept = line_dedup.drop_frequent_lines(
+        _packed(docs),
+        MIN_LINE_DOCS,
+        MIN_LINE_CHARS,
+        groups=lambda source, texts: minhash.text_groups(source, texts, NEAR_PERCENT),
+    )
     emptied = (F.col("n_dropped") > 0) & (F.ltrim("text", F.lit(quality_rules.SPACES)) == "")
     return _unpacked(kept.where(~emptied), docs, text_changed=True)
 

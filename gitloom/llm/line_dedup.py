@@ -8,7 +8,7 @@ never shuffled, joined or compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -216,8 +216,19 @@ def probe(lines: DataFrame, index: DataFrame, shards: int, min_docs: int) -> Dat
     return pairs.applyInArrow(look_up, "t1 long, t2 long, h1 long, h2 long, n long")
 
 
+def shared_by_groups(hits: DataFrame, groups: DataFrame, min_docs: int) -> DataFrame:
+    """Of ``hits`` those whose key at least ``min_docs`` groups of texts have."""
+    held = hits.join(groups, ["t1", "t2"]).select("h1", "h2", "group").distinct()
+    frequent = held.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    return hits.join(frequent.select("h1", "h2"), ["h1", "h2"], "left_semi")
+
+
 def drop_frequent_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, text: str = "text"
+    docs: DataFrame,
+    min_docs: int = 10,
+    min_chars: int = 1,
+    text: str = "text",
+    groups: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Drop every line whose key at least ``min_docs`` document rows have; add ``n_lines``
     (before) and ``n_dropped``, both long.
@@ -226,14 +237,22 @@ def drop_frequent_lines(
     the empty text. Keys of fewer than ``min_chars`` code points always stay. Each row is a
     document of its own, repeated rows and ids included. Columns of the added names are
     replaced, all others pass; an empty table stays empty.
+
+    With ``groups`` a key counts once for each group of texts instead: it takes the documents
+    and the ``t1, t2`` of all texts with a line that ``min_docs`` distinct texts have, and
+    gives ``t1, t2, group`` for these.
     """
     if min_chars < 1 or min_docs < 1:
         raise ValueError("min_docs and min_chars start at 1")
     source = without(docs, "n_lines", "n_dropped", "__t1", "__t2", "__drop")
-    lines = cut(document_lines(source, min_chars, text), "lines")
+    lines = document_lines(source, min_chars, text)
+    lines = cut(lines if groups is None else lines.distinct(), "lines")
     shards = max(1, -(-lines.count() // SHARD_KEYS))
     index = cut(build_index(lines, shards), "line-index")
     hits = probe(lines, index, shards, min_docs)
+    if groups is not None:
+        hits = cut(hits, "line-hits")
+        hits = shared_by_groups(hits, groups(source, hits.select("t1", "t2")), min_docs)
     # Copies of a text have the same hits: they become one row before the shuffle.
     dropped = hits.groupBy(F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).agg(
         F.collect_set(F.struct("h1", "h2")).alias("__drop")

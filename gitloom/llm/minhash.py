@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gitloom.llm.common import small_batches, text_key, utf8, without
 from gitloom.llm.components import connected_components
-from gitloom.session import cut
+from gitloom.session import cut, scratch_path, scratch_scope
 
 SHINGLE_WORDS = 5
 #: A pair of similarity 0.85 shares no band of 5 minima among 32 in 7 of 10^9 cases.
@@ -295,19 +295,9 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: st
     return comps
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
-    """One row per document row: ``doc_id, n_shingles, component_id, kept`` and the text's
-    key ``t1, t2``.
-
-    Two texts are linked if 100 times their common shingles are at least ``percent`` times
-    all of theirs. ``component_id`` is the smallest doc_id that links reach; ``kept`` says
-    that it is the row's own. Null and empty texts are linked with nothing. Equal texts are
-    linked whatever their ids; rows that repeat an id are kept or not together. A null
-    doc_id never names a component that has another id.
-    """
-    signed = cut(signatures(docs, text), "signatures")
-    # Copies are one class before anything is compared; they combine before the shuffle.
-    classes = cut(
+def shingle_classes(signed: DataFrame) -> DataFrame:
+    """One stored row per set of shingles: copies combine before the shuffle."""
+    return cut(
         signed.where("class is not null")
         .groupBy("class")
         .agg(
@@ -320,6 +310,51 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
+
+
+def text_groups(docs: DataFrame, among: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
+    """``t1, t2, group`` of the texts that ``among`` names by ``t1, t2``, one row each.
+
+    Texts of a group are tied by links as in ``near_duplicates``, whatever their ids; links
+    with texts outside ``among`` do not count. Texts without words have no row. The result
+    is stored, and all that was stored on the way is removed.
+    """
+    path = scratch_path(docs.sparkSession, "text-groups")
+    with scratch_scope(docs.sparkSession):
+        each = (
+            signatures(docs, text)
+            .where("class is not null")
+            .groupBy("t1", "t2")
+            .agg(
+                F.min("doc_id").alias("doc_id"),
+                *[F.first(c).alias(c) for c in ("n_shingles", "class", "signature", "bands")],
+            )
+        )
+        signed = cut(each.join(among.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi"), "signatures")
+        classes = shingle_classes(signed)
+        comps = class_components(docs, classes, percent, text)
+        named = classes.select("class", F.col("cid").alias("group"))
+        if comps is not None:
+            found = comps.select(F.col("cid").alias("group"), "comp")
+            named = named.join(found, "group", "left").select("class", F.coalesce("comp", "group").alias("group"))
+        groups = signed.select("t1", "t2", "class").join(named, "class").select("t1", "t2", "group")
+        groups.write.option("compression", "zstd").parquet(path)
+        schema = groups.schema
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
+    """One row per document row: ``doc_id, n_shingles, component_id, kept`` and the text's
+    key ``t1, t2``.
+
+    Two texts are linked if 100 times their common shingles are at least ``percent`` times
+    all of theirs. ``component_id`` is the smallest doc_id that links reach; ``kept`` says
+    that it is the row's own. Null and empty texts are linked with nothing. Equal texts are
+    linked whatever their ids; rows that repeat an id are kept or not together. A null
+    doc_id never names a component that has another id.
+    """
+    signed = cut(signatures(docs, text), "signatures")
+    classes = shingle_classes(signed)  # copies are one class before anything is compared
     comps = class_components(docs, classes, percent, text)
     named = classes.select("class", "cid", F.col("least").alias("component_id"))
     if comps is not None:

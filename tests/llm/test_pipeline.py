@@ -80,3 +80,25 @@ def test_nothing_else_imports_the_subpackage():
                 for name in (n for n in names if n.endswith(".py")):
                     with open(os.path.join(at, name)) as f:
                         assert "gitloom.llm" not in f.read(), name
+
+
+def test_line_stage_leaves_a_text_of_each_group_of_copies(spark):
+    def prose(name, n=60):
+        return [f"{name}{i}" for i in range(n)]
+
+    def lines(words):
+        return "\n".join(" ".join(words[i : i + 20]) for i in range(0, len(words), 20))
+
+    exact, near, junk = prose("e"), prose("n", 120), "read more here\nall rights reserved"
+    texts = [lines(exact)] * 25
+    texts += [lines(near).replace("\n", "\n" + " " * i) for i in range(12)]  # emptied by near copies alone
+    texts += [lines([*near[:119], f"own{i}"]) for i in range(12)]  # each keeps a line of its own
+    texts += [lines(prose(f"p{i}x")) + "\n" + junk for i in range(15)] + [junk]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    docs = spark.createDataFrame(rows, schema).repartition(5)
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
+    # Lines of 15 different texts go and so does the text of nothing else; groups stay whole.
+    assert out == {i: t.removesuffix("\n" + junk) for i, t in enumerate(texts) if t != junk}
+    left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame([(i, t, "en", "s", 0) for i, t in out.items()], schema), SF)
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 25, *range(49, 64)]
