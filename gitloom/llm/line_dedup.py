@@ -111,9 +111,10 @@ def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def document_lines(docs: DataFrame, min_chars: int, text: str = "text") -> DataFrame:
-    """``t1, t2, h1, h2``: for each document row the distinct keys of its lines, as hashes.
+    """``t1, t2, h1, h2, copies``: for each text the distinct keys of its lines, as hashes.
 
-    ``t1, t2`` name the text. Keys of fewer than ``min_chars`` code points are left out.
+    ``t1, t2`` name the text, and ``copies`` are its document rows; they combine before the
+    shuffle. Keys of fewer than ``min_chars`` code points are left out.
     """
     first, second = text_key(text)
     narrow = docs.select(first.alias("t1"), second.alias("t2"), F.col(f"`{text}`").alias("text"))
@@ -134,25 +135,27 @@ def document_lines(docs: DataFrame, min_chars: int, text: str = "text") -> DataF
                 [pa.array(c, pa.int64()) for c in columns], names=["t1", "t2", "h1", "h2"]
             )
 
-    return narrow.mapInArrow(run, "t1 long, t2 long, h1 long, h2 long")
+    made = narrow.mapInArrow(run, "t1 long, t2 long, h1 long, h2 long")
+    return made.groupBy("t1", "t2", "h1", "h2").agg(F.count("*").alias("copies"))
 
 
-def build_index(lines: DataFrame, shards: int) -> DataFrame:
+def build_index(lines: DataFrame, shards: int, once_a_text: bool = False) -> DataFrame:
     """One row per shard: ``shard, n_keys, n_probes, levels, fingerprints, counts``.
 
-    ``counts`` are documents per key (32 bits, the largest value standing for all above).
-    A key's documents are added up before the shuffle; a shard has distinct keys only, so
-    its size does not depend on how often a line occurs.
+    ``counts`` are documents per key, or texts (32 bits, the largest value standing for all
+    above); ``n_probes`` are texts. A key's documents are added up before the shuffle; a
+    shard has distinct keys only, so its size does not depend on how often a line occurs.
     """
     keys = (
         lines.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("texts"), F.sum("copies").alias("copies"))
         .withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
     )
 
     def build(key, group):
         h1, h2 = _unsigned(group.column("h1")), _unsigned(group.column("h2"))
-        n = group.column("n").to_numpy()
+        texts = group.column("texts").to_numpy()
+        n = texts if once_a_text else group.column("copies").to_numpy()
         levels = build_levels(h1, h2)
         order = rank(levels, h1, h2)
         prints, counts = np.empty(len(n), np.uint32), np.empty(len(n), np.uint32)
@@ -162,7 +165,7 @@ def build_index(lines: DataFrame, shards: int) -> DataFrame:
             {
                 "shard": pa.array([key[0].as_py()], pa.int32()),
                 "n_keys": pa.array([len(n)], pa.int64()),
-                "n_probes": pa.array([int(n.sum())], pa.int64()),
+                "n_probes": pa.array([int(texts.sum())], pa.int64()),
                 "levels": pa.array([pack_levels(levels)], pa.binary()),
                 "fingerprints": pa.array([prints.tobytes()], pa.binary()),
                 "counts": pa.array([counts.tobytes()], pa.binary()),
@@ -179,13 +182,15 @@ def probe(lines: DataFrame, index: DataFrame, shards: int, min_docs: int) -> Dat
     """``t1, t2, h1, h2, n`` of the lines that at least ``min_docs`` documents have.
 
     A shard with more probes than a task should take (a line of very many documents) is
-    dealt to several tasks by text, each with a copy of the arrays.
+    dealt to several tasks by text, each with a copy of the arrays. Copies of a text are one
+    row, so no part has more of them than another.
     """
     tasks = index.select(
         "shard", F.ceil(F.col("n_probes") / TASK_PROBES).cast("int").alias("tasks")
     )
     dealt = (
-        lines.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
+        lines.drop("copies")
+        .withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int"))
         .join(tasks, "shard")
         .withColumn("part", F.pmod("t1", F.col("tasks")).cast("int"))
         .drop("tasks")
@@ -245,10 +250,9 @@ def drop_frequent_lines(
     if min_chars < 1 or min_docs < 1:
         raise ValueError("min_docs and min_chars start at 1")
     source = without(docs, "n_lines", "n_dropped", "__t1", "__t2", "__drop")
-    lines = document_lines(source, min_chars, text)
-    lines = cut(lines if groups is None else lines.distinct(), "lines")
+    lines = cut(document_lines(source, min_chars, text), "lines")
     shards = max(1, -(-lines.count() // SHARD_KEYS))
-    index = cut(build_index(lines, shards), "line-index")
+    index = cut(build_index(lines, shards, once_a_text=groups is not None), "line-index")
     hits = probe(lines, index, shards, min_docs)
     if groups is not None:
         hits = cut(hits, "line-hits")

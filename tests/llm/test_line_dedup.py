@@ -52,3 +52,15 @@ def test_perfect_hash_numbers_keys_without_gaps():
         numbers = line_dedup.rank(levels, *h)
         assert sorted(numbers) == list(range(n))
         assert sum(map(len, levels)) * 64 <= 4 * n + 64 * 24
+
+
+def test_copies_of_a_text_are_one_probe_of_a_key(spark):
+    rows = [(i, "hot\nline\nhot") for i in range(300)] + [(i, f"hot\nown {i}") for i in range(300, 320)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    lines = line_dedup.document_lines(docs, 1)
+    assert lines.count() == 2 + 20 * 2
+    index = line_dedup.build_index(lines, 1).collect()[0]
+    assert (index["n_keys"], index["n_probes"]) == (22, 42)
+    assert sorted(np.frombuffer(index["counts"], np.uint32))[-2:] == [300, 320]
+    hits = line_dedup.probe(lines, line_dedup.build_index(lines, 1), 1, 10).collect()
+    assert len(hits) == 22 and {r["n"] for r in hits} == {300, 320}
