@@ -61,8 +61,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return minhash.keep_one(docs, NEAR_PERCENT)
+    """One document of each group of near copies stays, one row of it if rows repeat."""
+    return minhash.keep_one(docs, NEAR_PERCENT, repeats=False)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -353,31 +353,51 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
     linked whatever their ids; rows that repeat an id are kept or not together. A null
     doc_id never names a component that has another id.
     """
+    return marked_rows(docs, percent, text).drop("group")
+
+
+def marked_rows(docs: DataFrame, percent: int, text: str) -> DataFrame:
+    """``near_duplicates`` and ``group``, which tells components apart that have no id or
+    share one; null for texts without words.
+    """
     signed = cut(signatures(docs, text), "signatures")
     classes = shingle_classes(signed)  # copies are one class before anything is compared
     comps = class_components(docs, classes, percent, text)
-    named = classes.select("class", "cid", F.col("least").alias("component_id"))
+    named = classes.select("class", "cid", F.col("least").alias("component_id"), F.col("cid").alias("group"))
     if comps is not None:
         known = named.join(comps, "cid")
         least = known.groupBy("comp").agg(F.min("component_id").alias("comp_id"))
-        linked_to = comps.join(least, "comp").select("cid", "comp_id")
+        linked_to = comps.join(least, "comp").select("cid", "comp", "comp_id")
         named = named.join(linked_to, "cid", "left")
-        named = named.withColumn("component_id", F.coalesce("comp_id", "component_id"))
-    named = named.select("class", "component_id")
+        named = named.withColumns(
+            {"component_id": F.coalesce("comp_id", "component_id"), "group": F.coalesce("comp", "group")}
+        )
+    named = named.select("class", "component_id", "group")
     rows = signed.select("doc_id", "n_shingles", "t1", "t2", "class")
     linked = rows.where("class is not null").join(named, "class")
     alone = rows.where("class is null").withColumn("component_id", F.col("doc_id"))
+    alone = alone.withColumn("group", F.lit(None).cast("long"))
     every = linked.unionByName(alone)
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return every.select("doc_id", "n_shingles", "component_id", own.alias("kept"), "t1", "t2")
+    return every.select("doc_id", "n_shingles", "component_id", own.alias("kept"), "t1", "t2", "group")
 
 
-def keep_one(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with all their columns."""
-    marked = near_duplicates(docs, percent, text)
-    kept = marked.where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")
-    )
+def keep_one(docs: DataFrame, percent: int = 80, text: str = "text", repeats: bool = True) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, with all their columns.
+
+    Rows that repeat the kept id all stay, and so do those of a component whose ids are all
+    null. Without ``repeats`` exactly one row of each component stays: of the kept id the
+    text with the smallest key, and of equal rows the one whose columns hash lowest. Texts
+    without words are in no component and stay in either case.
+    """
+    kept = marked_rows(docs, percent, text).where("kept")
+    if not repeats:
+        counted = kept.where("group is not null").groupBy("group", "doc_id", "t1", "t2").agg(F.count("*").alias("rows"))
+        chosen = counted.groupBy("group").agg(F.min(F.struct("doc_id", "t1", "t2", "rows")).alias("chosen"))
+        wordless = kept.where("group is null").select("doc_id", "t1", "t2", F.lit(1).cast("long").alias("rows"))
+        kept = cut(chosen.select("chosen.*").unionByName(wordless), "kept")
+    renamed = {"doc_id": "__id", "t1": "__t1", "t2": "__t2"}
+    kept = kept.select(*[F.col(c).alias(n) for c, n in renamed.items()], *([] if repeats else ["rows"]))
     first, second = text_key(text)
     keyed = without(docs, "__a", "__b").withColumns({"__a": first, "__b": second})
     same = (
@@ -385,4 +405,12 @@ def keep_one(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFram
         & (F.col("__b") == F.col("__t2"))
         & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
     )
-    return keyed.join(kept, same, "left_semi").drop("__a", "__b")
+    if repeats or kept.where("rows > 1").isEmpty():
+        return keyed.join(kept, same, "left_semi").drop("__a", "__b")
+    single = keyed.join(kept.where("rows = 1"), same, "left_semi").drop("__a", "__b")
+    again = keyed.join(kept.where("rows > 1"), same, "left_semi")
+    names = [F.col(f"`{c}`") for c in single.columns]
+    one = again.groupBy("__a", "__b", F.col("doc_id").cast("long").alias("__id")).agg(
+        F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__row")
+    )
+    return single.unionByName(one.select("__row.*"))

@@ -94,3 +94,16 @@ def test_components_of_a_path_a_star_and_loops(spark):
     roots = {r["node"]: r["root"] for r in found}
     assert roots == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_without_repeats_keeps_one_row_of_each_group(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in "wvu"]
+    rows = [(4, texts[0], 1)] * 3 + [(4, texts[0] + " x", 2), (9, texts[0] + " y", 3)]
+    rows += [(None, texts[1], 4)] * 5 + [(None, texts[1] + " x", 4), (None, texts[2], 5), (None, "", 6), (7, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class int").repartition(3)
+    for _ in range(2):
+        kept = minhash.keep_one(docs, 85, repeats=False)
+        assert kept.columns == docs.columns
+        found = sorted(r["class"] for r in kept.collect())
+        assert found in ([1, 4, 5, 6, 7], [2, 4, 5, 6, 7])
+    assert sorted(r["class"] for r in minhash.keep_one(docs.where("class > 4"), 85, repeats=False).collect()) == [5, 6, 7]
