@@ -13,6 +13,7 @@ from gitloom.llm import (
     minhash,
     quality_classifier,
     quality_rules,
+    scan_queries,
     sharding,
     toxicity,
     url_filter,
@@ -126,6 +127,7 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    **scan_queries.QUERIES,
 }
 
 # --- DuckDB SQL ------------------------------------------------------------------
@@ -374,4 +376,5 @@ SQL = {
     "op8_warc_revisits": _OP8,
     "op9_decontamination": _OP9,
     "op10_url_filter": _OP10,
+    **scan_queries.SQL,
 }
