@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,14 @@ from gitloom.llm.common import extended, small_batches, with_columns, without
 
 #: Texts above this many characters are encoded piece by piece.
 PIECE_CHARS = 1 << 16
+#: In those texts, runs of so many characters of white space never reach the pattern: it looks
+#: back over a run, and ends the process on one of about a million.
+SPACE_CHARS = 1 << 12
+
+# What the pattern's engine takes for white space.
+_LONG_SPACE = re.compile(
+    "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % SPACE_CHARS
+)
 
 
 def load_encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
@@ -48,10 +57,22 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
 
 
 def encode_text(encoding: tiktoken.Encoding, text: str, limit: int = PIECE_CHARS) -> np.ndarray:
+    """The ids of a text of any length.
+
+    In the pattern a run of white space is one match but for its last character, which goes
+    with what follows; at the end of the text it is one match. Such a match is encoded as a
+    piece of its own, and the text before and after it as usual.
+    """
     if len(text) <= limit:
         return np.array(encoding.encode_ordinary(text), np.int32)
-    parts = [np.array(encoding.encode_ordinary(p), np.int32) for p in pieces(text, limit)]
-    return np.concatenate(parts)
+    found, start = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        found += [encoding.encode_ordinary(p) for p in pieces(text[start : run.start()], limit)]
+        found.append(encoding._encode_single_piece(text[run.start() : end]))
+        start = end
+    found += [encoding.encode_ordinary(p) for p in pieces(text[start:], limit)]
+    return np.concatenate([np.array(ids, np.int32) for ids in found])
 
 
 def encode(

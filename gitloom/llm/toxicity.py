@@ -167,14 +167,16 @@ def fit(
 ) -> ToxicityModel:
     """Trees on four fifths of the labelled sample, calibration on the rest.
 
-    Without labelled rows, or with rows of one class only, every score is that class's
-    rate (0 without rows).
+    Where the rows for the trees lack a class (or there are none), every score is the share
+    of toxic rows in the sample, 0 without rows. Where those for the calibration lack one,
+    the trees' chances are the scores.
     """
     sample = cut(training_sample(docs, labels, label, max_rows), "toxic-sample")
-    total, rate = sample.agg(F.count("*"), F.avg("label")).first()
-    if not total or rate in (0.0, 1.0):
-        return ToxicityModel(frozenset(), None, None, rate or 0.0)
     part = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(5 * 1_000_003))
+    grows = F.when(part % 5 != 0, F.col("label"))
+    total, rate, least, most = sample.agg(F.count("*"), F.avg("label"), F.min(grows), F.max(grows)).first()
+    if least == most:  # one class, or null where there is no row
+        return ToxicityModel(frozenset(), None, None, rate or 0.0)
     first = sample.where(part % 5 != 0)
     share = min(1.0, MAX_STEM_ROWS / total)
     stems = learn_stems(first.where(part < share * 5 * 1_000_003))
