@@ -1,5 +1,8 @@
 """The driver contract."""
 
+import importlib.util
+import sys
+
 import __spark_entry__ as entry
 from checks import all_checks
 from checks.compare import compare
@@ -14,6 +17,19 @@ def test_every_query_has_sql():
     assert all(callable(fn) for fn in queries.values())
 
 
+def test_core_queries_do_not_need_what_optional_modules_need(monkeypatch):
+    """A dependency that is not there leaves the optional queries out and no others."""
+    optional = "gitloom." + "llm"
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith(optional)]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    spec = importlib.util.spec_from_file_location("entry_again", entry.__file__)
+    again = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(again)
+    assert set(again.queries()) == set(again.oracle_sql()) == set(all_checks())
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["repo_id", "commit_hash", "file_ord"] and df.count() > 0
