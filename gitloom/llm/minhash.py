@@ -7,18 +7,19 @@ the threshold are compared on their full sets. Components of the links are near-
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from math import sqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gitloom.llm.common import small_batches, text_key, utf8, without
 from gitloom.llm.components import connected_components
-from gitloom.session import cut, scratch_path, scratch_scope
+from gitloom.session import cut, cut_measured, scratch_path, scratch_scope
 
 SHINGLE_WORDS = 5
 #: A pair of similarity 0.85 shares no band of 5 minima among 32 in 7 of 10^9 cases.
@@ -152,10 +153,10 @@ def signatures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """``bucket, band, cid, turn`` for buckets of two classes or more.
+    """``bucket, band, cid, lot, m, first`` for buckets of two classes or more.
 
-    ``turn`` says when a member is compared with the rest of its bucket: one at turn 0,
-    about eight times as many at each later turn, so m classes take about log8(m) turns.
+    ``lot`` in 0 to 1 decides when a member is compared with the rest of its bucket; ``m``
+    and ``first`` are the bucket's number of classes and its smallest.
     """
     entries = classes.select(F.posexplode("bands").alias("band", "bucket"), "cid")
     shared = (
@@ -164,9 +165,8 @@ def bucket_members(classes: DataFrame) -> DataFrame:
         .where("m > 1")
     )
     lot = F.shiftrightunsigned(F.xxhash64("cid", "bucket"), 11) / float(1 << 53)
-    later = 1 + F.floor(F.log(8.0, F.greatest(F.lit(1.0), lot * F.col("m"))))
-    turn = F.when(F.col("cid") == F.col("first"), 0).otherwise(later.cast("int"))
-    return entries.join(shared, "bucket").select("bucket", "band", "cid", turn.alias("turn"))
+    found = entries.join(shared.hint("merge"), "bucket")
+    return found.select("bucket", "band", "cid", lot.alias("lot"), "m", "first")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
@@ -178,7 +178,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFra
         second.alias("t2"),
         F.col(f"`{text}`").alias("text"),
     )
-    chosen = narrow.join(wanted, ["t1", "t2"]).where(F.col("__id").eqNullSafe(F.col("doc_id")))
+    chosen = narrow.join(wanted.hint("merge"), ["t1", "t2"])
+    chosen = chosen.where(F.col("__id").eqNullSafe(F.col("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -192,27 +193,46 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFra
     return made.groupBy("cid").agg(F.first("shingles").alias("shingles"))  # repeated rows
 
 
-def prune(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Members that may still be linked with another component, with ``shared`` set anew.
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """``cid, unshared``: how many shingles of a class no other class has, where there are any.
 
-    ``shared`` counts the shingles of a class that a class of another component has too. No
-    pair has more in common, so classes with fewer than ``percent`` of a hundred have no
-    link left. Buckets that one component holds are left out.
+    The sets are taken apart once; a shingle of one class is counted for its only holder.
     """
-    who = live.select("cid", "comp").distinct()
-    rows = sets.join(who, "cid").select("cid", "comp", F.explode("shingles").alias("h"))
-    common = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    counted = (
-        rows.join(common.where("lo != hi").select("h"), "h")
-        .groupBy("cid")
-        .agg(F.count("*").alias("shared"))
+    rows = sets.select("cid", F.explode("shingles").alias("h"))
+    held = rows.groupBy("h").agg(F.count("*").alias("holders"), F.min("cid").alias("cid"))
+    return held.where("holders = 1").groupBy("cid").agg(F.count("*").alias("unshared"))
+
+
+def opened(live: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Members of buckets that still hold more than one component, with ``pivot`` and ``last``.
+
+    Two classes of different components are not both in the largest one of their bucket. So
+    where few members are outside of it, these are the pivots and the turn is the bucket's
+    ``last``; else some of all members are, eight times as many as in the turn before.
+    ``slack`` is what any partner in the bucket has for itself alone: a class whose shared
+    shingles do not reach the threshold over its own size and that has no link left.
+    """
+    counted = live.groupBy("bucket", "comp").agg(
+        F.count("*").alias("c"), F.min(F.col("n") - F.col("shared")).alias("alone")
+    )
+    buckets = (
+        counted.groupBy("bucket")
+        .agg(F.sum("c").alias("__m"), F.max(F.struct("c", "comp")).alias("__top"), F.min("alone").alias("__slack"))
+        .where(F.col("__m") > F.col("__top.c"))
+    )
+    reach = 8 ** (turn + 1)
+    chosen = F.col("lot") * F.col("m") < 8**turn if turn else F.col("cid") == F.col("first")
+    able = F.col("shared") * 100 >= (F.col("n") + F.col("__slack")) * percent
+    return (
+        live.join(buckets.hint("merge"), "bucket")
+        .where(able)
+        .withColumn("last", F.col("__m") - F.col("__top.c") <= reach)
+        .withColumn("pivot", F.when(F.col("last"), F.col("comp") != F.col("__top.comp")).otherwise(chosen))
+        .drop("__m", "__top", "__slack")
     )
-    able = live.drop("shared").join(counted, "cid").where(F.col("shared") * 100 >= F.col("n") * percent)
-    mixed = able.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    return able.join(mixed.where("lo != hi").select("bucket"), "bucket")
 
 
-def candidates(live: DataFrame, turn: int, percent: int) -> DataFrame:
+def candidates(live: DataFrame, percent: int) -> DataFrame:
     """``a, b, comp_a, comp_b, n_a, n_b``: pairs of this turn that may reach the threshold.
 
     Sizes and shared shingles bound the similarity from above; the packed signatures
@@ -221,22 +241,20 @@ def candidates(live: DataFrame, turn: int, percent: int) -> DataFrame:
     """
     sides = {}
     for side in ("a", "b"):
-        names = {"cid": side, "comp": f"comp_{side}", "n": f"n_{side}", "signature": f"s_{side}"}
-        names |= {"turn": f"turn_{side}", "shared": f"shared_{side}", "marks": f"marks_{side}"}
-        sides[side] = live.withColumnsRenamed(names)
-    met = sides["a"].where(F.col("turn_a") == turn).join(
-        sides["b"].where(F.col("turn_b") >= turn), ["bucket", "band"]
-    )
+        names = {c: f"{c}_{side}" for c in ("comp", "n", "signature", "shared", "marks", "pivot")}
+        columns = [F.col(c).alias(name) for c, name in names.items()]
+        sides[side] = live.select("bucket", "band", F.col("cid").alias(side), *columns)
+    met = sides["a"].where("pivot_a").join(sides["b"].hint("merge"), ["bucket", "band"])
     earlier = F.zip_with(
         F.slice("marks_a", 1, F.col("band")), F.slice("marks_b", 1, F.col("band")), lambda x, y: x == y
     )
     both = F.least("shared_a", "shared_b")
     near = (
-        ((F.col("turn_b") > turn) | (F.col("a") < F.col("b")))
+        (~F.col("pivot_b") | (F.col("a") < F.col("b")))
         & (F.col("comp_a") != F.col("comp_b"))
         & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         & (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
-        & (estimate("s_a", "s_b") >= estimate_floor(percent / 100))
+        & (estimate("signature_a", "signature_b") >= estimate_floor(percent / 100))
         & ~F.exists(earlier, lambda same: same)
     )
     return met.where(near).select("a", "b", "comp_a", "comp_b", "n_a", "n_b")
@@ -246,53 +264,72 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the candidates those that reach the threshold on their full sets."""
     asked = pairs
     for side in ("a", "b"):
-        asked = asked.join(sets.withColumnsRenamed({"cid": side, "shingles": f"set_{side}"}), side)
+        held = sets.withColumnsRenamed({"cid": side, "shingles": f"set_{side}"})
+        asked = asked.join(held.hint("merge"), side)
     both = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     exact = both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent
     return asked.where(exact).select("a", "b", "comp_a", "comp_b")
 
 
+def merged(edges: DataFrame) -> DataFrame:
+    """``comp, label`` for the components of ``a, b`` whose label changes: the smallest
+    component at most two edges away.
+
+    It need not be all of what belongs together; equal labels do belong together.
+    """
+    both = edges.union(edges.select("b", "a"))
+    near = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    further = both.join(near.withColumnsRenamed({"a": "b", "m": "further"}).hint("merge"), "b")
+    least = further.groupBy("a").agg(F.min("further").alias("label"))
+    return least.where("label < a").withColumnRenamed("a", "comp")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: str) -> DataFrame | None:
     """``cid, comp`` of the classes that are linked to another one; None if none is.
 
-    In each turn the chosen members of a bucket are compared with those of the bucket that
-    are not yet in the same component. A bucket is left when one component holds all that
-    may still be linked, so a group of near copies costs few comparisons for each copy, and
-    no link between components is passed over: in the end every pair of a bucket is
-    compared, joined or ruled out by a bound.
+    In each turn the pivots of a bucket are compared with those of the bucket that are not
+    yet known to be in the same component. A bucket is left when one component holds all
+    that may still be linked, so a group of near copies costs few comparisons for each copy,
+    and no link between components is passed over: in the end every pair of a bucket is
+    compared, known to be joined or ruled out by a bound. The links of all turns give the
+    components. Joins keep their order (merge joins), as in most of them neither side is small.
     """
     members = cut(bucket_members(classes), "members")
     ends = members.select("cid").distinct()
-    wanted = classes.join(ends, "cid").select("cid", "source.*")
+    wanted = classes.join(ends.hint("merge"), "cid", "left_semi").select("cid", "source.*")
     sets = cut(full_sets(docs, wanted, text), "sets")
-    brief = classes.select(
-        "cid",
-        F.col("cid").alias("comp"),
-        F.col("n_shingles").alias("n"),
-        "signature",
-        # 32 bits of each band: enough to tell whether two classes share it.
-        F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("marks"),
+    unshared = shared_shingles(sets)
+    brief = (
+        classes.select(
+            "cid",
+            F.col("cid").alias("comp"),
+            F.col("n_shingles").alias("n"),
+            "signature",
+            # 32 bits of each band: enough to tell whether two classes share it.
+            F.transform("bands", lambda x: F.shiftright(x, 32).cast("int")).alias("marks"),
+        )
+        .join(unshared.hint("merge"), "cid", "left")
+        .withColumn("shared", F.col("n") - F.coalesce("unshared", F.lit(0)))
+        .where(F.col("shared") * 100 >= F.col("n") * percent)
+        .drop("unshared")
     )
-    live, comps, turn = cut(prune(members.join(brief, "cid"), sets, percent), "members"), None, 0
-    while not live.isEmpty():
-        links = cut(confirmed(candidates(live, turn, percent), sets, percent), "links")
-        rest = live.where(F.col("turn") > turn)
-        if not links.isEmpty():
-            edges = links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-            roots = connected_components(edges)
-            known = links.select(F.col("a").alias("cid"), F.col("comp_a").alias("comp"))
-            known = known.union(links.select("b", "comp_b"))
-            known = known.union(comps) if comps is not None else known
-            moved = known.distinct().join(roots, F.col("comp") == F.col("node"), "left")
-            comps = cut(moved.select("cid", F.coalesce("root", "comp").alias("comp")), "comps")
-            # Only members of merged components change theirs.
-            fresh = roots.withColumnsRenamed({"node": "comp", "root": "__root"})
-            rest = rest.join(fresh, "comp", "left").withColumn("comp", F.coalesce("__root", "comp"))
-            rest = rest.drop("__root")
-        sets = cut(sets.join(rest.select("cid").distinct(), "cid", "left_semi"), "sets")
-        live = cut(prune(rest, sets, percent), "members")
+    rows, edges, turn = F.count("*"), [], 0
+    live, left = cut_measured(opened(members.join(brief.hint("merge"), "cid"), turn, percent), "members", n=rows)
+    while left["n"]:
+        links, found = cut_measured(confirmed(candidates(live, percent), sets, percent), "links", n=rows)
+        rest = live.where("not last and not pivot").drop("last", "pivot")
+        if found["n"]:
+            edges.append(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+            labels = cut(merged(edges[-1]), "labels")
+            rest = rest.join(labels.hint("merge"), "comp", "left")
+            rest = rest.withColumn("comp", F.coalesce("label", "comp")).drop("label")
         turn += 1
-    return comps
+        live, left = cut_measured(opened(rest, turn, percent), "members", n=rows)
+    if not edges:
+        return None
+    roots = connected_components(reduce(DataFrame.union, edges))
+    own = roots.select("root", F.col("root").alias("comp")).distinct()
+    return roots.union(own).toDF("cid", "comp")
 
 
 def shingle_classes(signed: DataFrame) -> DataFrame:
@@ -312,17 +349,30 @@ def shingle_classes(signed: DataFrame) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written; all that was stored on the way is removed."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        made = make()
+        made.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def text_groups(docs: DataFrame, among: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
     """``t1, t2, group`` of the texts that ``among`` names by ``t1, t2``, one row each.
 
     Texts of a group are tied by links as in ``near_duplicates``, whatever their ids; links
     with texts outside ``among`` do not count. Texts without words have no row. The result
-    is stored, and all that was stored on the way is removed.
+    is stored.
     """
-    path = scratch_path(docs.sparkSession, "text-groups")
-    with scratch_scope(docs.sparkSession):
+
+    def make() -> DataFrame:
+        first, second = text_key(text)
+        keyed = docs.select(F.col("doc_id"), F.col(f"`{text}`").alias(text), first.alias("__t1"), second.alias("__t2"))
+        named_texts = among.select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).distinct()
+        asked = keyed.join(named_texts, ["__t1", "__t2"], "left_semi").select("doc_id", text)
         each = (
-            signatures(docs, text)
+            signatures(asked, text)
             .where("class is not null")
             .groupBy("t1", "t2")
             .agg(
@@ -330,17 +380,16 @@ def text_groups(docs: DataFrame, among: DataFrame, percent: int = 80, text: str
                 *[F.first(c).alias(c) for c in ("n_shingles", "class", "signature", "bands")],
             )
         )
-        signed = cut(each.join(among.select("t1", "t2").distinct(), ["t1", "t2"], "left_semi"), "signatures")
+        signed = cut(each, "signatures")
         classes = shingle_classes(signed)
         comps = class_components(docs, classes, percent, text)
         named = classes.select("class", F.col("cid").alias("group"))
         if comps is not None:
             found = comps.select(F.col("cid").alias("group"), "comp")
             named = named.join(found, "group", "left").select("class", F.coalesce("comp", "group").alias("group"))
-        groups = signed.select("t1", "t2", "class").join(named, "class").select("t1", "t2", "group")
-        groups.write.option("compression", "zstd").parquet(path)
-        schema = groups.schema
-    return docs.sparkSession.read.schema(schema).parquet(path)
+        return signed.select("t1", "t2", "class").join(named, "class").select("t1", "t2", "group")
+
+    return stored(docs.sparkSession, "text-groups", make)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> DataFrame:
@@ -358,8 +407,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, text: str = "text") -> D
 
 def marked_rows(docs: DataFrame, percent: int, text: str) -> DataFrame:
     """``near_duplicates`` and ``group``, which tells components apart that have no id or
-    share one; null for texts without words.
+    share one; null for texts without words. The result is stored.
     """
+    return stored(docs.sparkSession, "near-duplicates", lambda: _marked_rows(docs, percent, text))
+
+
+def _marked_rows(docs: DataFrame, percent: int, text: str) -> DataFrame:
     signed = cut(signatures(docs, text), "signatures")
     classes = shingle_classes(signed)  # copies are one class before anything is compared
     comps = class_components(docs, classes, percent, text)

@@ -66,6 +66,31 @@ def components(texts: list[str | None], percent: int) -> list[int]:
     return [find(i) for i in range(len(texts))]
 
 
+def drop_lines_by_groups(texts: list[str | None], min_groups: int, percent: int) -> list[tuple[str, int, int]]:
+    """As drop_lines, but texts that links tie together count once.
+
+    Links are looked for among the texts with a line that ``min_groups`` distinct texts have.
+    """
+
+    def keys(text: str) -> set[str]:
+        return {x.strip(SPACES).translate(UPPER) for x in text.split("\n")} - {""}
+
+    holders = defaultdict(set)
+    for text in {t or "" for t in texts}:
+        for k in keys(text):
+            holders[k].add(text)
+    wide = {k for k, held in holders.items() if len(held) >= min_groups}
+    among = sorted({t for k in wide for t in holders[k]})
+    group = dict(zip(among, components(among, percent), strict=True))
+    gone = {k for k in wide if len({group[t] for t in holders[k] if shingles(t)}) >= min_groups}
+    out = []
+    for text in texts:
+        lines = (text or "").split("\n")
+        stay = [x for x in lines if x.strip(SPACES).translate(UPPER) not in gone]
+        out.append(("\n".join(stay), len(lines), len(lines) - len(stay)))
+    return out
+
+
 def quality(text: str | None) -> dict[str, int]:
     text = text or ""
     w = re.findall("[^\x20\x09-\x0d]+", text)

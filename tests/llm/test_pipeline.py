@@ -1,6 +1,7 @@
 """The pipeline next to brute force, the stages' contract, and the driver's entry."""
 
 import os
+import random
 import re
 
 import public_tokenizers
@@ -32,7 +33,7 @@ def _kept_by_rules(text):
 
 def _brute(rows, items):
     rows = [r for r in rows if _kept_by_rules(r[1])]
-    cut = brute.drop_lines([t for _, t in rows], 10, 1)
+    cut = brute.drop_lines_by_groups([t for _, t in rows], 10, corpus_pipeline.NEAR_PERCENT)
     rows = [(i, t) for (i, _), (t, _, gone) in zip(rows, cut, strict=True) if not gone or t.strip(brute.SPACES)]
     roots = brute.components([t for _, t in rows], corpus_pipeline.NEAR_PERCENT)
     smallest = {}
@@ -42,17 +43,55 @@ def _brute(rows, items):
     return [r for r in rows if not brute.contamination(r[1], items)[1]]
 
 
-def test_pipeline_equals_brute_force(spark):
-    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+def _groups():
+    """Texts of which groups of near copies, and of unlike ones, share lines."""
+    rng = random.Random(21)
+    vocabulary = [f"{a}{b}" for a in "the of and sun moon tree river stone".split() for b in ("", "s", "ly", "ing", "er")]
+
+    def prose(n):
+        return [f"{rng.choice(vocabulary)} the {rng.choice(vocabulary)}{i}" for i in range(n)]
+
+    def lines(parts):
+        return "\n".join(" ".join(parts[i : i + 8]) for i in range(0, len(parts), 8))
+
+    shared = lines(prose(8))
+    out = []
+    for size in (4, 11, 14):
+        base = prose(80)
+        out += [lines([*base[:72], *prose(1), *base[73:]]) for _ in range(size)]
+    out += [lines(prose(40)) + "\n" + shared for _ in range(12)]
+    out += [lines(prose(40)) + "\n" + shared.upper() for _ in range(3)] + [out[0]] * 12
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = [(r[0], r[1]) for r in given.select("doc_id", "text").collect()]
+    more = [(100_000 + i, t) for i, t in enumerate(_groups())]
+    added = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in more], given.schema)
+    given.unionByName(added).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    kept = _brute(docs, items)
+    kept = _brute(docs + more, items)
     assert 20 < len(kept) < len(docs)
+    ours = {i: t for i, t in kept if i >= 100_000}
+    assert len(ours) == 18 and all(t.count("\n") in (4, 9) for t in ours.values())
+    # Counting documents, or distinct texts, gives something else.
+    assert brute.drop_lines([t for _, t in more], 10, 1) != brute.drop_lines_by_groups([t for _, t in more], 10, 80)
     encoding = bpe.load_encoding(public_tokenizers.path(corpus_pipeline.RANK_FILE), public_tokenizers.PATTERN)
-    found = corpus_pipeline.run(spark, SF).collect()
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"]: list(r["token_ids"]) for r in found} == {i: encoding.encode_ordinary(t) for i, t in kept}
     assert all(r["round_trip"] for r in found)
 
 
+def test_no_more_jobs_than_needed(spark):
+    """The driver's memory follows the number of plans: a bound on a small input."""
+    jobs = lambda: spark._jsc.sc().dagScheduler().nextJobId()
+    before = jobs()
+    corpus_pipeline.run(spark, SF).collect()
+    assert jobs() - before <= 100
+
+
 def test_stages_keep_the_columns_and_take_odd_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0)] * 2, docs.schema)
