@@ -6,13 +6,14 @@ columns of ``documents``; what a stage drops or changes is gone for the next one
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gitloom.llm import bpe, decontamination, line_dedup, minhash, quality_rules
 from gitloom.llm.common import table
-from gitloom.session import cut
 
 MIN_LINE_DOCS, MIN_LINE_CHARS = 10, 1
 NEAR_PERCENT = 80
@@ -101,8 +102,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each result but the last is a table in shared scratch."""
+    """The stages over ``documents``; each result but the last is a table in shared scratch,
+    and what a stage stores on its way is removed."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        docs = minhash.stored(spark, name, partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
