@@ -29,7 +29,7 @@ MINIMA = BANDS * ROWS
 BITS = 2
 WORDS = MINIMA * BITS // 64
 #: Standard deviations by which an estimate may fall short before a pair is left out.
-SIGMAS = 7
+SIGMAS = 6
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240607)
@@ -203,12 +203,24 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
     return held.where("holders = 1").groupBy("cid").agg(F.count("*").alias("unshared"))
 
 
+def recounted(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rest`` with ``shared`` counted anew: the shingles that a class of another component
+    has too. Classes that cannot reach the threshold with these have no link left."""
+    who = rest.select("cid", "comp").distinct()
+    rows = sets.join(who.hint("merge"), "cid").select("cid", "comp", F.explode("shingles").alias("h"))
+    common = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    counted = rows.join(common.select("h").hint("merge"), "h").groupBy("cid").agg(F.count("*").alias("shared"))
+    found = rest.drop("shared").join(counted.hint("merge"), "cid")
+    return found.where(F.col("shared") * 100 >= F.col("n") * percent)
+
+
 def opened(live: DataFrame, turn: int, percent: int) -> DataFrame:
     """Members of buckets that still hold more than one component, with ``pivot`` and ``last``.
 
     Two classes of different components are not both in the largest one of their bucket. So
     where few members are outside of it, these are the pivots and the turn is the bucket's
-    ``last``; else some of all members are, eight times as many as in the turn before.
+    ``last``; else some of all members are, four times as many as in the turn before. Turns
+    start at one, after the ``star_pairs``.
     ``slack`` is what any partner in the bucket has for itself alone: a class whose shared
     shingles do not reach the threshold over its own size and that has no link left.
     """
@@ -220,44 +232,58 @@ def opened(live: DataFrame, turn: int, percent: int) -> DataFrame:
         .agg(F.sum("c").alias("__m"), F.max(F.struct("c", "comp")).alias("__top"), F.min("alone").alias("__slack"))
         .where(F.col("__m") > F.col("__top.c"))
     )
-    reach = 8 ** (turn + 1)
-    chosen = F.col("lot") * F.col("m") < 8**turn if turn else F.col("cid") == F.col("first")
+    reach = 4**turn
     able = F.col("shared") * 100 >= (F.col("n") + F.col("__slack")) * percent
     return (
         live.join(buckets.hint("merge"), "bucket")
         .where(able)
         .withColumn("last", F.col("__m") - F.col("__top.c") <= reach)
-        .withColumn("pivot", F.when(F.col("last"), F.col("comp") != F.col("__top.comp")).otherwise(chosen))
+        .withColumn("pivot", F.when(F.col("last"), F.col("comp") != F.col("__top.comp")).otherwise(F.col("lot") * F.col("m") < reach))
         .drop("__m", "__top", "__slack")
     )
 
 
+def _sided(df: DataFrame, side: str, *columns: str) -> DataFrame:
+    named = [F.col(c).alias(f"{c}_{side}") for c in columns]
+    return df.select(F.col("cid").alias(side), *[c for c in ("bucket", "band") if c in df.columns], *named)
+
+
+def _near(percent: int) -> Column:
+    """Whether a pair may reach the threshold: sizes and shared shingles bound the similarity
+    from above, and the packed signatures estimate it."""
+    both = F.least("shared_a", "shared_b")
+    return (
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
+        & (estimate("signature_a", "signature_b") >= estimate_floor(percent / 100))
+    )
+
+
+_PAIR = ("a", "b", "comp_a", "comp_b", "n_a", "n_b")
+
+
+def star_pairs(members: DataFrame, brief: DataFrame, percent: int) -> DataFrame:
+    """Each class with the smallest of the classes that its buckets begin with, if they may be
+    linked: one pair a class, which already ties most of a group of near copies together."""
+    sides = {side: _sided(brief, side, "comp", "n", "signature", "shared").hint("merge") for side in "ab"}
+    least = members.groupBy(F.col("cid").alias("a")).agg(F.min("first").alias("b")).where("a != b")
+    return least.join(sides["a"], "a").join(sides["b"], "b").where(_near(percent)).select(*_PAIR)
+
+
 def candidates(live: DataFrame, percent: int) -> DataFrame:
-    """``a, b, comp_a, comp_b, n_a, n_b``: pairs of this turn that may reach the threshold.
+    """Pairs of this turn that may reach the threshold.
 
-    Sizes and shared shingles bound the similarity from above; the packed signatures
-    estimate it. All three are tested where the pair is formed, and so is that no earlier
-    band has the pair: it belongs to the first bucket that both are in.
+    They are tested where they are formed, and so is that no earlier band has the pair: it
+    belongs to the first bucket that both are in.
     """
-    sides = {}
-    for side in ("a", "b"):
-        names = {c: f"{c}_{side}" for c in ("comp", "n", "signature", "shared", "marks", "pivot")}
-        columns = [F.col(c).alias(name) for c, name in names.items()]
-        sides[side] = live.select("bucket", "band", F.col("cid").alias(side), *columns)
+    columns = ("comp", "n", "signature", "shared", "marks", "pivot")
+    sides = {side: _sided(live, side, *columns) for side in "ab"}
     met = sides["a"].where("pivot_a").join(sides["b"].hint("merge"), ["bucket", "band"])
     earlier = F.zip_with(
         F.slice("marks_a", 1, F.col("band")), F.slice("marks_b", 1, F.col("band")), lambda x, y: x == y
     )
-    both = F.least("shared_a", "shared_b")
-    near = (
-        (~F.col("pivot_b") | (F.col("a") < F.col("b")))
-        & (F.col("comp_a") != F.col("comp_b"))
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        & (both * 100 >= (F.col("n_a") + F.col("n_b") - both) * percent)
-        & (estimate("signature_a", "signature_b") >= estimate_floor(percent / 100))
-        & ~F.exists(earlier, lambda same: same)
-    )
-    return met.where(near).select("a", "b", "comp_a", "comp_b", "n_a", "n_b")
+    apart = (~F.col("pivot_b") | (F.col("a") < F.col("b"))) & (F.col("comp_a") != F.col("comp_b"))
+    return met.where(apart & _near(percent) & ~F.exists(earlier, lambda same: same)).select(*_PAIR)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -313,18 +339,29 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: st
         .where(F.col("shared") * 100 >= F.col("n") * percent)
         .drop("unshared")
     )
-    rows, edges, turn = F.count("*"), [], 0
-    live, left = cut_measured(opened(members.join(brief.hint("merge"), "cid"), turn, percent), "members", n=rows)
-    while left["n"]:
-        links, found = cut_measured(confirmed(candidates(live, percent), sets, percent), "links", n=rows)
+    members = members.join(brief.hint("merge"), "cid")
+    edges: list[DataFrame] = []
+
+    def linked(pairs: DataFrame, rest: DataFrame) -> DataFrame:
+        """``rest`` with the components that the pairs' links tie together."""
+        links, found = cut_measured(confirmed(pairs, sets, percent), "links", n=F.count("*"))
+        if not found["n"]:
+            return rest
+        edges.append(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        labels = cut(merged(edges[-1]), "labels")
+        known = rest.join(labels.hint("merge"), "comp", "left")
+        return known.withColumn("comp", F.coalesce("label", "comp")).drop("label")
+
+    turn, rest = 1, linked(star_pairs(members, brief, percent), members)
+    while True:
+        if turn > 1:  # few are left: it pays to take their sets apart again
+            rest = recounted(rest, sets, percent)
+        live, left = cut_measured(opened(rest, turn, percent), "members", n=F.count("*"))
+        if not left["n"]:
+            break
         rest = live.where("not last and not pivot").drop("last", "pivot")
-        if found["n"]:
-            edges.append(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-            labels = cut(merged(edges[-1]), "labels")
-            rest = rest.join(labels.hint("merge"), "comp", "left")
-            rest = rest.withColumn("comp", F.coalesce("label", "comp")).drop("label")
+        rest = linked(candidates(live, percent), rest)
         turn += 1
-        live, left = cut_measured(opened(rest, turn, percent), "members", n=rows)
     if not edges:
         return None
     roots = connected_components(reduce(DataFrame.union, edges))
