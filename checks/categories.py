@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from checks import common as c
 from gitloom.functions import prompts as pr
+from gitloom.functions.text import bigram_set
+from gitloom.functions.vectors import set_cosine_distance
 from gitloom.operators import batches as bt
 from gitloom.operators import categories as ct
 from gitloom.operators import disagreement as ds
+from gitloom.operators import near_pairs as np
 from gitloom.operators.documents import stub_embedder, to_collection
 from gitloom.operators.ordering import ordered_prefix
 from gitloom.plans import categorise as plan
@@ -287,6 +290,51 @@ def term_rows(spark, sf):
     return ds.bigram_terms(c.table(spark, sf, "documents"), "doc_id", "text")
 
 
+def sparse_rows(spark, sf):
+    """Each text's bigrams as places in the sorted vocabulary."""
+    vectors, words = ds.sparse_terms(c.table(spark, sf, "documents"), "doc_id", "text")
+    places = F.array_join(F.col("terms").cast("array<string>"), ",")
+    return vectors.select(
+        "doc_id", F.size("terms").cast("long").alias("n"), F.md5(places).alias("places_md5"),
+        words.select(F.count("*")).scalar().alias("n_terms"),
+    )
+
+
+def sparse_set_distances(spark, sf):
+    """Distances between neighbouring documents from their sparse vectors."""
+    vectors, _ = ds.sparse_terms(c.table(spark, sf, "documents"), "doc_id", "text")
+    after = vectors.select((F.col("doc_id") - 1).alias("doc_id"), F.col("terms").alias("other"))
+    cosine, euclidean = ds.sparse_distances(F.col("terms"), F.col("other"))
+    return vectors.join(after, "doc_id").select(
+        "doc_id", F.round(cosine, 6).alias("distance"), F.round(euclidean, 6).alias("euclidean")
+    )
+
+
+NEAR_PERCENT = 50
+
+
+def _document_bigrams(spark, sf):
+    return c.table(spark, sf, "documents").select("doc_id", bigram_set(F.col("text")).alias("bigrams"))
+
+
+def near_pairs(spark, sf):
+    """All pairs of texts with half their bigrams in common, nearest first."""
+    pairs = np.similar_pairs(_document_bigrams(spark, sf), NEAR_PERCENT, "doc_id", "bigrams")
+    distance = set_cosine_distance(F.col("shared"), F.col("n_a"), F.col("n_b"))
+    return pairs.select(
+        F.col("a").alias("doc_1"), F.col("b").alias("doc_2"), F.round(distance, 6).alias("distance"),
+        "copies_a", "copies_b",
+    )
+
+
+def unlike_pairs(spark, sf):
+    return np.pairs_without_common(_document_bigrams(spark, sf), "doc_id", "bigrams")
+
+
+def merged_similar(spark, sf):
+    return ct.merge_similar(c.table(spark, sf, "part").select(F.col("p_partkey").alias("n"), F.col("p_name").alias("category")))
+
+
 def pair_distances(spark, sf):
     return _rounded(_pairs(spark, sf), "distance", "euclidean")
 
@@ -445,6 +493,52 @@ CHECKS = {
         f"with {D_DOC_BIGRAMS} select doc_id, count(*) as n, min(bigram) as first, max(bigram) as last "
         "from bigrams group by doc_id",
     ),
+    "p25_sparse_terms": (
+        sparse_rows,
+        f"with {D_DOC_BIGRAMS}, vocabulary as (select bigram, row_number() over (order by bigram) - 1 as term "
+        "from (select distinct bigram from bigrams)), coded as (select doc_id, count(*) as n, "
+        "md5(string_agg(term::varchar, ',' order by term)) as places_md5 from bigrams join vocabulary using (bigram) group by doc_id) "
+        "select doc_id, coalesce(n, 0) as n, coalesce(places_md5, md5('')) as places_md5, "
+        "(select count(*) from vocabulary) as n_terms from documents left join coded using (doc_id)",
+    ),
+    "v02_sparse_distances": (
+        sparse_set_distances,
+        "with toks as (select doc_id, regexp_extract_all(lower(text), '[\\pL\\pN_\\pM]{2,}') as t from documents), "
+        "sets as (select doc_id, list_distinct(list_transform(list_zip(t[:-2], t[2:]), lambda p: p[1] || ' ' || p[2])) as b "
+        "from toks), pairs as (select x.doc_id, len(x.b) as n1, len(y.b) as n2, len(list_intersect(x.b, y.b)) as shared "
+        "from sets x join sets y on y.doc_id = x.doc_id + 1) select doc_id, case when n1 > 0 and n2 > 0 then "
+        "round(1 - shared / sqrt(n1::double * n2), 6) end as distance, round(sqrt((n1 + n2 - 2 * shared)::double), 6) as euclidean from pairs",
+    ),
+    "j09_near_pairs": (
+        near_pairs,
+        f"with {D_DOC_BIGRAMS}, sets as (select doc_id, list(bigram order by bigram) as b, count(*) as n from bigrams group by doc_id), "
+        "classes as (select min(doc_id) as id, count(*) as copies, any_value(n) as n from sets group by b), "
+        "entries as (select id, bigram from classes join bigrams on id = doc_id), "
+        "met as (select x.id as a, y.id as b, count(*) as shared from entries x join entries y "
+        "on x.bigram = y.bigram and x.id < y.id group by x.id, y.id) "
+        "select a as doc_1, b as doc_2, round(1 - shared / sqrt(p.n::double * q.n), 6) as distance, "
+        "p.copies as copies_a, q.copies as copies_b from met join classes p on p.id = a join classes q on q.id = b "
+        f"where shared * shared * 10000 >= p.n * q.n * {NEAR_PERCENT * NEAR_PERCENT}",
+    ),
+    "j09_unlike_pairs": (
+        unlike_pairs,
+        f"with {D_DOC_BIGRAMS}, sets as (select doc_id, list(bigram order by bigram) as b from bigrams group by doc_id), "
+        "classes as (select min(doc_id) as id from sets group by b), "
+        "entries as (select id, bigram from classes join bigrams on id = doc_id), "
+        "met as (select distinct x.id as a, y.id as b from entries x join entries y on x.bigram = y.bigram and x.id < y.id) "
+        "select count(*) as n_classes, count(*) * (count(*) - 1) // 2 as n_pairs, (select count(*) from met) as n_common from classes",
+    ),
+    "m07_merge_similar": (
+        merged_similar,
+        "with recursive names as (select min(p_partkey) as n, lower(regexp_replace(trim(p_name), '\\s+', ' ', 'g')) as name "
+        "from part group by 2), grams as (select distinct n, name[i:i + 2] as g from (select n, name, "
+        "unnest(range(1, greatest(length(name) - 2, 1) + 1)) as i from names)), sizes as (select n, count(*) as s from grams group by n), "
+        "ties as (select a, b from (select x.n as a, y.n as b, count(*) as shared from grams x join grams y on x.g = y.g and x.n <> y.n "
+        "group by x.n, y.n) join sizes p on p.n = a join sizes q on q.n = b where shared * 100 >= (p.s + q.s - shared) * 60), "
+        "reach as (select n, n as other from names union select reach.n, ties.b from reach join ties on ties.a = reach.other), "
+        "firsts as (select n from reach group by n having min(other) = n) "
+        "select p_partkey as n, p_name as category from part join firsts on firsts.n = p_partkey",
+    ),
     "p25_term_rows": (term_rows, f"with {D_DOC_BIGRAMS} select doc_id, bigram from bigrams"),
     "p26_drop_commits": (
         without_outlier,

@@ -327,6 +327,16 @@ def distinct_commits(spark, sf):
     return sm.distinct_commits(c.summaries(spark, sf))
 
 
+def sketched_commits(spark, sf):
+    """Sketches of two loads, united, next to the exact counts of both together."""
+    rows = c.commits(spark, sf)
+    halves = [sm.commit_sketches(rows.where(F.col("commit_ord") % 2 == k)) for k in (0, 1)]
+    found = sm.estimated_commits(sm.united(halves[0].unionByName(halves[1])))
+    counted = rows.groupBy("repo_id").agg(F.count_distinct("commit_hash").alias("exact"))
+    close = F.abs(F.col("n_commits") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.03)
+    return counted.join(found, "repo_id", "left").select("repo_id", "exact", close.alias("close"))
+
+
 def short_hashes(spark, sf):
     return c.commits(spark, sf).select("commit_hash", tx.short_hash(F.col("commit_hash")).alias("short"))
 
@@ -395,6 +405,10 @@ CHECKS = {
         f"with {D_DOC_FILES} select repo_id, commit_hash, commit_hash || '/0' as commit_message, "
         "case when commit_ord % 2 = 0 then commit_ord end as pr_id from commits",
     ),
+    "a09_commit_sketch": (
+        sketched_commits,
+        f"with {c.D_COMMITS} select repo_id, count(distinct commit_hash) as exact, true as close from commits group by repo_id",
+    ),
     "a09_distinct_commits": (
         distinct_commits,
         f"with {c.D_SUMMARIES} select count(distinct commit_hash) as n_commits from summaries",

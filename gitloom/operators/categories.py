@@ -10,9 +10,10 @@ from gitloom.functions.prompts import assignment_prompt, dedup_prompt, discovery
 from gitloom.functions.text import strip
 from gitloom.operators.documents import metadata_value
 from gitloom.operators.inference import MAX_RETRIES, Model, infer
+from gitloom.operators.near_pairs import similar_pairs
 from gitloom.operators.ordering import keep_first, ordered_prefix
 from gitloom.operators.packing import pack_lines
-from gitloom.session import cut
+from gitloom.session import cut, cut_measured
 
 # --- fixed values ---
 OTHER = "Other"
@@ -102,6 +103,51 @@ def merge_spellings(categories: DataFrame) -> DataFrame:
     return keep_first(categories.withColumn("__key", key), ["__key"], ["n"]).select("n", "category")
 
 
+def merge_similar(categories: DataFrame, percent: int = 60) -> DataFrame:
+    """Merge names that are nearly the same without a model; the first of a group stays.
+
+    Names are compared as sets of three characters in lower case, with single spaces, and
+    tied at a Jaccard similarity of ``percent``; what ties connect is one category. Names of
+    fewer than three characters are tied with equal ones only.
+    """
+    folded = F.lower(F.regexp_replace(strip(F.col("category")), r"(?U)\s+", " "))
+    n = F.length("__name")
+    grams = F.transform(
+        F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))), lambda i: F.substring("__name", i, 3)
+    )
+    named = cut(merge_spellings(categories).select("n", "category", folded.alias("__name")), "names")
+    pairs = similar_pairs(named.select("n", grams.alias("items")), percent, "n", measure="jaccard")
+    # Different names can have the same three-character sets: they are one class.
+    sets = named.select("n", F.sort_array(F.array_distinct(grams)).alias("items"))
+    first = sets.groupBy("items").agg(F.min("n").alias("first"))
+    edges = pairs.select("a", "b").union(
+        sets.join(first, "items").where("n != first").select(F.col("first").alias("a"), F.col("n").alias("b"))
+    )
+    roots = smallest_of_component(edges)
+    return named.join(roots, named.n == roots.node, "left_anti").select("n", "category")
+
+
+def smallest_of_component(edges: DataFrame) -> DataFrame:
+    """``node, root`` for the ends of ``a < b`` that are not the smallest of their component:
+    each takes the smallest root among its neighbours' until no root changes."""
+    both = cut(edges.union(edges.select("b", "a")).distinct(), "ties")
+    state = both.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+    moved = 1
+    while moved:
+        beside = both.join(state.withColumnsRenamed({"node": "b", "root": "other"}), "b")
+        least = beside.groupBy("a").agg(F.min("other").alias("other")).withColumnRenamed("a", "node")
+        near = state.join(least, "node").select("node", F.least("root", "other").alias("low"), "root")
+        # A root's own root is followed too, so rounds grow with the logarithm of a chain.
+        own = near.select(F.col("node").alias("low"), F.col("low").alias("lower"))
+        state, seen = cut_measured(
+            near.join(own, "low").select("node", F.col("lower").alias("root"), (F.col("lower") != F.col("root")).alias("moved")),
+            "roots",
+            moved=F.count_if("moved"),
+        )
+        state, moved = state.drop("moved"), seen["moved"]
+    return state.where("node != root")
+
+
 def dedup_prompts(categories: DataFrame, max_chars: int | None = None) -> DataFrame:
     """``chunk_no, prompt, fits`` over the bulleted list."""
     lines = categories.select(
@@ -234,10 +280,12 @@ def flag_off_list(assigned: DataFrame, categories: DataFrame, replace: bool = Fa
 
 
 def categorised(collection: DataFrame, assigned: DataFrame) -> DataFrame:
-    """The categorised rows, joined by id."""
-    return collection.join(assigned.select("id", "category"), "id").select(
+    """The categorised rows, joined by id; ``off_list`` comes along where it is known."""
+    flag = [c for c in ("off_list",) if c in assigned.columns]
+    return collection.join(assigned.select("id", "category", *flag), "id").select(
         F.col("id").alias("commit_hash"),
         "category",
+        *flag,
         F.col("document").alias("semantic_summary"),
         metadata_value("repo_id").alias("repo_id"),
         metadata_value("commit_message").alias("commit_message"),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gitloom.functions.text import bigram_set, bigrams
 from gitloom.functions.vectors import set_cosine_distance, set_euclidean_distance
-from gitloom.operators.ordering import keep_first
+from gitloom.operators.ordering import keep_first, ordered_prefix
+from gitloom.session import cut
 
 # --- fixed values ---
 HISTOGRAM_BINS = 30
@@ -26,6 +27,37 @@ def bigram_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(id_col, F.explode(bigram_set(F.col(text_col))).alias("bigram"))
 
 
+def vocabulary(terms: DataFrame) -> DataFrame:
+    """``bigram, term``: every different bigram and its place, from 0, in their order."""
+    listed = terms.select(F.lit(0).alias("__all"), "bigram").distinct()
+    ranked = ordered_prefix(listed, ["__all"], ["bigram"], None, "__n")
+    return ranked.select("bigram", (F.col("__n") - 1).alias("term"))
+
+
+def sparse_terms(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Sparse 0/1 vectors ``id, terms`` (the places of a text's bigrams, ascending) and the
+    vocabulary, both as tables: neither has a bound on the number of terms.
+
+    A text without bigrams has an empty vector. Rows with one id are one vector.
+    """
+    terms = cut(bigram_terms(df, id_col, text_col), "terms")
+    words = cut(vocabulary(terms), "vocabulary")
+    coded = terms.join(words, "bigram").groupBy(id_col).agg(F.sort_array(F.collect_set("term")).alias("__terms"))
+    ids = df.select(F.col(id_col).alias("__id")).distinct()
+    placed = ids.join(coded, F.col("__id").eqNullSafe(F.col(id_col)), "left")
+    empty = F.array().cast("array<bigint>")
+    return placed.select(F.col("__id").alias(id_col), F.coalesce("__terms", empty).alias("terms")), words
+
+
+def sparse_distances(left: Column, right: Column) -> tuple[Column, Column]:
+    """Cosine and euclidean distance of two sparse 0/1 vectors."""
+    shared = F.size(F.array_intersect(left, right))
+    return (
+        set_cosine_distance(shared, F.size(left), F.size(right)),
+        set_euclidean_distance(shared, F.size(left), F.size(right)),
+    )
+
+
 def run_pairs(runs: DataFrame, order: Sequence[str]) -> DataFrame:
     """Pairs of the same commit in two runs, ``source_1 < source_2``, with set distances.
 

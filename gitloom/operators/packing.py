@@ -30,9 +30,9 @@ def pack_lines(
 
     When the joined lines fit in ``limit`` there is one chunk (``fits``). Otherwise
     lines fill a chunk until adding ``length + 1`` would pass the limit; a line over
-    the limit is a chunk of its own. A null line is an empty one. Most keys are folded as one array. Keys too
-    large for one task are found by a pre-aggregation and packed by joins, with the
-    same result.
+    the limit is a chunk of its own. A null line is an empty one. Lines with the same
+    ordinal go by their text. Most keys are folded as one array. Keys too large for one
+    task are found by a pre-aggregation and packed by joins, with the same result.
     """
     keys = list(keys)
     lines = df.select(
@@ -121,50 +121,51 @@ def _pack_distributed(
     the lines reachable from the first, found by pointer doubling.
     """
     placed = cut(
-        ordered_prefix(lines, keys, ["__ord"], F.col("__len"), "__rn", "__end").withColumn(
+        ordered_prefix(lines, keys, ["__ord", "__line"], F.col("__len"), "__rn", "__end").withColumn(
             "__start", F.col("__end") - F.col("__len")
         ),
         "placed",
     )
+    # Columns of its own, as a key may have any name.
     width = OFFSET_BUCKET
     spans = placed.select(
         *keys,
-        F.col("__rn").alias("nxt"),
-        F.col("__start").alias("s"),
-        F.col("__end").alias("e"),
+        F.col("__rn").alias("__next"),
+        F.col("__start").alias("__from"),
+        F.col("__end").alias("__to"),
         F.explode(
             F.sequence(
                 F.floor(F.col("__start") / width), F.floor((F.col("__end") - 1) / width)
             )
-        ).alias("bucket"),
+        ).alias("__bucket"),
     )
     asks = placed.select(
         *keys,
-        F.col("__rn").alias("i"),
-        (F.col("__start") + limit).alias("q"),
-        F.floor((F.col("__start") + limit) / width).alias("bucket"),
+        F.col("__rn").alias("__i"),
+        (F.col("__start") + limit).alias("__offset"),
+        F.floor((F.col("__start") + limit) / width).alias("__bucket"),
     )
-    found = asks.join(spans, [*keys, "bucket"]).where("q >= s and q < e")
+    found = asks.join(spans, [*keys, "__bucket"]).where("__offset >= __from and __offset < __to")
     # A line longer than the limit holds its own offset: the chunk ends after it.
     jump = cut(
-        found.select(*keys, "i", F.greatest(F.col("nxt"), F.col("i") + 1).alias("j")), "jump"
+        found.select(*keys, "__i", F.greatest(F.col("__next"), F.col("__i") + 1).alias("__j")), "jump"
     )
-    jump = jump.join(sizes.select(*keys, "__n"), keys).where("j <= __n").drop("__n")
+    jump = jump.join(sizes.select(*keys, "__n"), keys).where("__j <= __n").drop("__n")
     jumps = []
-    first = F.col("i") == 1
+    first = F.col("__i") == 1
     while not jump.where(first).isEmpty():
         jumps.append(jump)
-        after = jump.select(*keys, F.col("i").alias("j"), F.col("j").alias("k"))
-        jump = cut(jump.join(after, [*keys, "j"]).select(*keys, "i", F.col("k").alias("j")), "jump")
-    opens = sizes.where(F.col("__n") > 0).select(*keys, F.lit(1).cast("long").alias("i"))
+        after = jump.select(*keys, F.col("__i").alias("__j"), F.col("__j").alias("__k"))
+        jump = cut(jump.join(after, [*keys, "__j"]).select(*keys, "__i", F.col("__k").alias("__j")), "jump")
+    opens = sizes.where(F.col("__n") > 0).select(*keys, F.lit(1).cast("long").alias("__i"))
     for jump in reversed(jumps):
-        reached = opens.join(jump, [*keys, "i"]).select(*keys, F.col("j").alias("i"))
+        reached = opens.join(jump, [*keys, "__i"]).select(*keys, F.col("__j").alias("__i"))
         opens = cut(opens.unionByName(reached).distinct(), "opens")
-    fits = sizes.select(*keys, "__n", (F.col("__chars") - 1 <= limit).alias("fits"))
-    opens = opens.join(fits, keys).where((F.col("i") == 1) | ~F.col("fits"))
-    numbered = cut(ordered_prefix(opens, keys, ["i"], None, "__no"), "numbered")
+    fits = sizes.select(*keys, "__n", (F.col("__chars") - 1 <= limit).alias("__fits"))
+    opens = opens.join(fits, keys).where((F.col("__i") == 1) | ~F.col("__fits"))
+    numbered = cut(ordered_prefix(opens, keys, ["__i"], None, "__no", "__running"), "numbered")
     following = numbered.select(
-        *keys, (F.col("__no") - 1).alias("__no"), F.col("i").alias("__until")
+        *keys, (F.col("__no") - 1).alias("__no"), F.col("__i").alias("__until")
     )
     chunks = (
         numbered.join(following, [*keys, "__no"], "left")
@@ -172,8 +173,8 @@ def _pack_distributed(
         .select(
             *keys,
             (F.col("__no") - 1).alias("chunk_no"),
-            "fits",
-            F.explode(F.sequence("i", F.col("__until") - 1)).alias("__rn"),
+            F.col("__fits").alias("fits"),
+            F.explode(F.sequence("__i", F.col("__until") - 1)).alias("__rn"),
         )
     )
     return (

@@ -51,6 +51,24 @@ def distinct_commits(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("commit_hash").alias("n_commits"))
 
 
+def commit_sketches(rows: DataFrame, precision: int = 14) -> DataFrame:
+    """``repo_id, sketch``: a small mergeable summary of each repository's commit hashes.
+
+    Sketches of later loads are united with :func:`united`; null hashes do not count.
+    """
+    return rows.groupBy("repo_id").agg(F.hll_sketch_agg("commit_hash", precision).alias("sketch"))
+
+
+def united(sketches: DataFrame) -> DataFrame:
+    """One sketch of each repository from those of several loads."""
+    return sketches.groupBy("repo_id").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def estimated_commits(sketches: DataFrame) -> DataFrame:
+    """``repo_id, n_commits``, about one in a hundred off; exact counts are ``distinct_commits``."""
+    return sketches.select("repo_id", F.hll_sketch_estimate("sketch").alias("n_commits"))
+
+
 def row_totals(rows: DataFrame) -> DataFrame:
     """File rows and the commits that have them."""
     return rows.agg(F.count("*").alias("n_rows"), F.count_distinct("commit_hash").alias("n_commits"))

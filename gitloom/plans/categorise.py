@@ -79,8 +79,10 @@ def categorise(
     def assign(docs: DataFrame) -> DataFrame:
         if assignment:
             answered = cut(ct.assign(docs, merged, assignment), "assigned")
-            return answered.where("status = 'completed'").select("id", "category")
-        return ct.assign_by_words(docs, merged)
+            found = answered.where("status = 'completed'").select("id", "category")
+        else:
+            found = ct.assign_by_words(docs, merged)
+        return ct.flag_off_list(found, merged).select("id", "category", "off_list")
 
     docs = collection.select("id", "document")
     assigned = stage(spark, work_root, "assigned", lambda: assign(docs), overwrite_stages)
@@ -93,7 +95,8 @@ def categorise(
         if lost:
             raise ValueError(f"{lost} documents got no category; the stages are kept in {work_root}")
     if other_off_list:
-        assigned = ct.flag_off_list(assigned, merged, replace=True).select("id", "category")
+        listed = F.when(F.col("off_list"), F.lit(ct.OTHER)).otherwise(F.col("category"))
+        assigned = assigned.withColumn("category", listed)
     return ct.roll_up_rare(ct.categorised(collection, assigned))
 
 

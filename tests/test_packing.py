@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from gitloom.operators.ordering import keep_first, ordered_prefix, preceding_marked
@@ -52,6 +53,18 @@ def test_distributed_path_gives_the_same_chunks(spark):
     assert packed(spark, data, 60, hot_lines=30) == expected
 
 
+@pytest.mark.parametrize("key", ["k", "i", "q", "running"])
+def test_tied_ordinals_and_any_key_name_give_one_result(spark, key):
+    """Lines with one ordinal go by their text, on either path and whatever the key is called."""
+    lines = ["bb" * 9, "a" * 25, "c" * 3, "bb" * 9, "d" * 30, "", "zz", "y" * 12]
+    rows = [(7, n // 4, line) for n, line in enumerate(lines)] + [(8, 0, "x")]
+    df = spark.createDataFrame(rows, f"{key} int, o int, line string").repartition(3)
+    ordered = sorted(lines[:4]) + sorted(lines[4:])
+    for options in ({"hot_lines": 0}, {}):
+        got = pack_lines(df, [key], "o", "line", 40, **options).where(f"{key} = 7").orderBy("chunk_no").collect()
+        assert [r.text for r in got] == greedy(ordered, 40)
+
+
 def test_null_lines_count_as_empty_on_both_paths(spark):
     rows = [(1, i, x) for i, x in enumerate(["aaaa", None, "bbbb", "cccc", "dddd", None])]
     df = spark.createDataFrame(rows, "g int, i int, line string")
