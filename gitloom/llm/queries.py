@@ -36,8 +36,6 @@ URL_RULES = (
     UrlRule("net", "/es/", "block"),
     UrlRule("net", "/fr/", "block"),
 )
-#: Pages of hosts that this finds make the list of urls to block.
-SPAM_HOST = r"://[^/?#]*\bspam\b"
 
 
 def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +108,9 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(F.col("url").rlike(SPAM_HOST)).select("url")
-    judged = url_filter.judge_urls(pages, listed, URL_RULES)
+    pages = table(spark, sf_dir, "pages")
+    listed = url_filter.bad_pages(pages)
+    judged = url_filter.judge_urls(pages.select("page_id", "url"), listed, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -347,12 +345,13 @@ _LONGEST_FIRST = sorted(URL_RULES, key=lambda r: (-len(r.text), r.text))
 
 _OP10 = f"""
 with rests as (
-  select page_id, url, case when contains(url, '://')
+  select page_id, coalesce(html, '') as html, case when contains(url, '://')
     then substr(url, strpos(url, '://') + 3) else '' end as rest
   from pages
 ),
 split as (
-  select page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) as host,
+  select page_id, coalesce(nullif(split_part(split_part(html, '<article>', 2), '</article>', 1), ''),
+      html) as article, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) as host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
   from rests
 ),
@@ -361,7 +360,13 @@ ruled as (
     case {" ".join(_fits_sql(r) for r in _LONGEST_FIRST)} end as rule
   from split
 ),
-listed as (select distinct key from ruled where host <> '' and regexp_matches(url, '{SPAM_HOST}'))
+listed as (
+  select distinct key from (select *, string_split(article, '<p>') as parts from ruled)
+  where host <> '' and (regexp_matches(host, '{url_filter.SPAM_HOST}')
+    or len(regexp_extract_all(regexp_replace(article, '<[^>]*>', ' ', 'g'), '{url_filter.WORD}'))
+      < {url_filter.MIN_WORDS}
+    or 100 * (len(parts) - len(list_distinct(parts))) > {url_filter.MAX_REPEATED_PERCENT} * len(parts))
+)
 select page_id, host, path, rule,
   case {" ".join(f"when rule = '{r.text}' then '{r.verdict}'" for r in URL_RULES)}
     when host <> '' and key in (select key from listed) then 'block' else 'allow' end as verdict

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gitloom.llm.bloom import blocks_for, build_filter, possible_hits
 from gitloom.llm.common import without
+from gitloom.session import cut_measured
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Blocks of the filter. A block is four 64-bit words, so the broadcast filter has at most
-#: 40 bytes times this number, however long the list is; a longer list only lets more
-#: false positives through to the exact join.
-BLOCKS = 1 << 16
-WORDS = 4
+WORD = r"[^\x20\x09-\x0D]+"
+#: What makes a page bad: a word of its host, too few words, too many repeated paragraphs
+#: (the bounds that quality rules for web text commonly take).
+SPAM_HOST = r"\bspam\b"
+MIN_WORDS, MAX_REPEATED_PERCENT = 50, 30
 
 
 @dataclass(frozen=True)
@@ -57,41 +58,28 @@ def rule_of(rules: Sequence[UrlRule], host: Column, path: Column, value: str) ->
     return F.coalesce(*fits) if fits else F.lit(None).cast("string")
 
 
-def _masks(key: Column) -> list[Column]:
-    """One bit in each word of the block."""
-    h = F.xxhash64(F.lit(1), key)
-    return [
-        F.call_function(
-            "shiftleft",
-            F.lit(1).cast("long"),
-            F.shiftright(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"),
-        )
-        for i in range(WORDS)
-    ]
-
-
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks).cast("long"))
-
-
-def build_filter(keys: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
-    """``__block`` and its words; a block without keys has no row. Null keys are left out."""
-    masks = {f"__m{i}": m for i, m in enumerate(_masks(F.col(key)))}
-    words = [F.bit_or(f"__m{i}").alias(f"__w{i}") for i in range(WORDS)]
-    marked = keys.where(F.col(key).isNotNull()).select(
-        _block(F.col(key), blocks).alias("__block"), *[m.alias(n) for n, m in masks.items()]
-    )
-    return marked.groupBy("__block").agg(*words)
-
+def bad_pages(
+    pages: DataFrame,
+    spam_host: str = SPAM_HOST,
+    min_words: int = MIN_WORDS,
+    max_repeated_percent: int = MAX_REPEATED_PERCENT,
+) -> DataFrame:
+    """``url`` of the pages (``url, html``) whose host or content is bad, a list to block.
 
-def possible_hits(df: DataFrame, key: str, built: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """Add ``__possible``: false for keys that are surely not listed (and for null keys)."""
-    held = df.withColumn("__block", _block(F.col(key), blocks))
-    joined = held.join(F.broadcast(built), "__block", "left")
-    bits = [F.col(f"__w{i}").bitwiseAND(m) == m for i, m in enumerate(_masks(F.col(key)))]
-    hit = F.coalesce(reduce(Column.__and__, bits), F.lit(False)) & F.col(key).isNotNull()
-    dropped = ["__block", *[f"__w{i}" for i in range(WORDS)]]
-    return joined.withColumn("__possible", hit).drop(*dropped)
+    Bad is a host that ``spam_host`` finds, an article of fewer than ``min_words`` words, or
+    one of whose paragraphs more than ``max_repeated_percent`` repeat an earlier one. The
+    article is what ``<article>`` holds, or else the whole html; null html has no words. Null
+    urls and urls without a host pass and block nothing; repeated rows stay.
+    """
+    html = F.coalesce(F.col("html"), F.lit(""))
+    inside = F.split_part(F.split_part(html, F.lit("<article>"), F.lit(2)), F.lit("</article>"), F.lit(1))
+    article = F.coalesce(F.nullif(inside, F.lit("")), html)
+    split = pages.select("url", host_and_path(F.col("url"))[0].alias("host"), article.alias("article"))
+    words = F.regexp_count(F.regexp_replace("article", "<[^>]*>", " "), F.lit(WORD))
+    parts = F.split("article", "<p>")
+    repeated = F.size(parts) - F.size(F.array_distinct(parts))
+    too_many = 100 * repeated > max_repeated_percent * F.size(parts)
+    return split.where(F.col("host").rlike(spam_host) | (words < min_words) | too_many).select("url")
 
 
 def judge_urls(
@@ -99,15 +87,17 @@ def judge_urls(
     listed: DataFrame,
     rules: Sequence[UrlRule] = (),
     url: str = "url",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Add ``host, path, rule, verdict``; ``listed`` has urls to block in its column ``url``.
 
     The longest rule that fits decides. Where none fits, a url whose canonical form is
     listed is blocked and all others are allowed, those without a host included. Repeated
     rows stay, and a url listed twice counts once; an empty list blocks nothing. Columns of
-    the added names are replaced. Rows that the Bloom filter clears take no part in the
-    join; a url that a third of the rows share is a skewed join that Spark splits.
+    the added names are replaced. The canonical forms of the list are a stored table, and
+    the filter is sized by their number unless ``blocks`` is given. Rows that it clears take
+    no part in the join; a url that a third of the rows share is a skewed join that Spark
+    splits.
     """
     base = without(pages, "host", "path", "rule", "verdict")
     host, path = host_and_path(F.col(f"`{url}`"))
@@ -120,7 +110,9 @@ def judge_urls(
         }
     )
     l_host, l_path = host_and_path(F.col("url"))
-    bad = listed.select(canonical(l_host, l_path).alias("__key")).where("__key is not null").distinct()
+    keys = listed.select(canonical(l_host, l_path).alias("__key")).where("__key is not null").distinct()
+    bad, seen = cut_measured(keys, "listed", n=F.count(F.lit(1)))
+    blocks = blocks or blocks_for(seen["n"])
     built = build_filter(bad, "__key", blocks)
     # Only urls that no rule decides are looked up.
     probed = possible_hits(ruled, "__key", built, blocks)

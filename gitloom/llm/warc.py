@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gitloom.llm.bloom import blocks_for, build_filter, possible_hits
+from gitloom.session import cut_measured
+
 #: Payloads below this many bytes are never replaced by a revisit record.
 MIN_REVISIT_BYTES = 1000
 #: Bytes of records in one archive file, on average.
@@ -36,13 +39,26 @@ def _uuid(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cuts), F.lit(">"))
 
 
-def responders(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+def with_headers(pages: DataFrame) -> DataFrame:
+    """``page_id, url, payload, digest, n_bytes``; a null html is an empty payload."""
+    payload = F.coalesce(F.col("html"), F.lit(""))
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        payload.alias("payload"),
+        F.sha1(payload.cast("binary")).alias("digest"),
+        F.octet_length(payload).cast("long").alias("n_bytes"),
+    )
+
+
+def responders(headers: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """``digest, n_bytes, response_id`` of payloads of at least ``min_bytes`` that repeat.
 
-    Only headers are shuffled; copies are counted before it.
+    Of equal payloads the row with the largest page_id is the response; null ids come last.
+    Copies are counted before the shuffle.
     """
     return (
-        pages.where(F.col("n_bytes") >= min_bytes)
+        headers.where(F.col("n_bytes") >= min_bytes)
         .groupBy("digest", "n_bytes")
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1")
@@ -50,37 +66,71 @@ def responders(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFram
     )
 
 
-def with_headers(pages: DataFrame) -> DataFrame:
-    """``page_id, url, payload, digest, n_bytes``; a null html is an empty payload."""
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    return pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        payload.alias("payload"),
-        F.sha1(payload.cast("binary")).alias("digest"),
-        F.octet_length(payload).cast("long").alias("n_bytes"),
-    )
+def revisits(headers: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """The headers whose payload another page holds, with its id as ``response_id``.
+
+    Rows that repeat the response's id and payload are responses as well (and share its
+    record id), and so are all rows of a payload that only null ids have.
+    """
+    joined = headers.join(responders(headers, min_bytes), ["digest", "n_bytes"])
+    return joined.where(~F.col("page_id").eqNullSafe(F.col("response_id")))
 
 
-def deduplicated(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Add ``response_id``: the page whose record has the payload, null for responses.
+def _key() -> Column:
+    """Names rows of equal payload and id; what is decided for one of them holds for all."""
+    return F.concat_ws("|", "digest", "n_bytes", "page_id")
 
-    Of equal payloads of ``min_bytes`` or more the row with the largest page_id is the
-    response; rows that repeat that id too are responses as well (and share a record id, as
-    page and payload are the same). Null ids come last.
+
+def responses(pages: DataFrame, headers: DataFrame, found: DataFrame, n_found: int) -> DataFrame:
+    """The pages (:func:`with_headers`) that are not among the revisits ``found``.
+
+    Payloads stay where they are read. A filter of the revisits' keys clears most
+    responses; those that it does not clear are known exactly from the headers, and a second
+    filter, of their keys, tells revisits from them. Only pages that both filters let
+    through, in the order of the first one's false positives, are shuffled for the exact
+    join.
+    """
+    names = pages.columns
+    listed = found.select(_key().alias("__key")).distinct()
+    n_blocks = blocks_for(n_found)
+    first = build_filter(listed, "__key", n_blocks)
+    doubtful = possible_hits(headers.select(_key().alias("__key")), "__key", first, n_blocks)
+    doubtful = doubtful.where("__possible").join(listed, "__key", "left_anti").select("__key").distinct()
+    kept, seen = cut_measured(doubtful, "kept", n=F.count(F.lit(1)))
+    k_blocks = blocks_for(seen["n"])
+    second = build_filter(kept, "__key", k_blocks)
+    asked = possible_hits(pages.withColumn("__key", _key()), "__key", first, n_blocks)
+    asked = possible_hits(asked, "__key", second, k_blocks, "__kept")
+    clear = asked.where("not __possible").select(*names)
+    exact = asked.where("__possible and __kept").join(kept, "__key", "left_semi")
+    return clear.unionByName(exact.select(*names))
+
+
+def deduplicated(
+    pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES
+) -> tuple[DataFrame, DataFrame, int, int]:
+    """Responses, revisits, and the number of all pages and of their payload bytes.
+
+    Responses have a payload, revisits a ``response_id``. Pages are read twice: for the
+    headers, a stored table which alone is shuffled to find revisits, and for the responses.
     """
     headed = with_headers(pages)
-    joined = headed.join(responders(headed, min_bytes), ["digest", "n_bytes"], "left")
-    own = F.col("page_id").eqNullSafe(F.col("response_id"))
-    return joined.withColumn("response_id", F.when(~own, F.col("response_id")))
+    sums = {"n": F.count(F.lit(1)), "n_bytes": F.sum("n_bytes")}
+    headers, total = cut_measured(headed.drop("payload"), "headers", **sums)
+    found, seen = cut_measured(revisits(headers, min_bytes), "revisits", n=F.count(F.lit(1)))
+    kept = responses(headed, headers, found, seen["n"]) if seen["n"] else headed
+    return kept, found, total["n"], total["n_bytes"] or 0
 
 
 def records(rows: DataFrame, date: Column) -> DataFrame:
-    """One text column ``value``: each row's record with a fresh header."""
-    revisit = F.col("response_id").isNotNull()
-    block = F.when(revisit, F.lit(HTTP_HEAD)).otherwise(F.concat(F.lit(HTTP_HEAD), F.col("payload")))
-    own = _uuid(F.when(revisit, "revisit").otherwise("response"), F.col("page_id"), F.col("digest"))
-    target = _uuid(F.lit("response"), F.col("response_id"), F.col("digest"))
+    """One text column ``value``: the record, with a fresh header, of each response
+    (a row with ``payload``) or revisit (one with ``response_id``)."""
+    kind = "revisit" if "response_id" in rows.columns else "response"
+    block, target, profile = F.concat(F.lit(HTTP_HEAD), F.col("payload")), F.lit(None), F.lit(None)
+    if kind == "revisit":
+        block, profile = F.lit(HTTP_HEAD), F.lit(PROFILE)
+        target = _uuid(F.lit("response"), F.col("response_id"), F.col("digest"))
+    own = _uuid(F.lit(kind), F.col("page_id"), F.col("digest"))
 
     def line(name: str, value: Column) -> Column:  # absent where the value is null
         return F.concat(F.lit(f"{name}: "), value.cast("string"))
@@ -88,13 +138,13 @@ def records(rows: DataFrame, date: Column) -> DataFrame:
     header = F.concat_ws(
         END,
         F.lit(VERSION),
-        line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        line("WARC-Type", F.lit(kind)),
         line("WARC-Record-ID", own),
         line("WARC-Date", F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", " ")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        line("WARC-Refers-To", F.when(revisit, target)),
-        line("WARC-Profile", F.when(revisit, PROFILE)),
+        line("WARC-Refers-To", target),
+        line("WARC-Profile", profile),
         line("X-Page-ID", F.col("page_id")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(block)),
@@ -113,8 +163,10 @@ def write_archives(
 
     ``date`` is the records' date, by default now. Empty input writes an empty archive.
     """
-    mean = with_headers(pages).agg(F.avg("n_bytes")).first()[0] or 0.0
-    rows = records(deduplicated(pages, min_bytes), F.current_timestamp() if date is None else date)
+    date = F.current_timestamp() if date is None else date
+    kept, found, n, n_bytes = deduplicated(pages, min_bytes)
+    mean = n_bytes / max(n, 1)
+    rows = records(kept, date).unionByName(records(found, date))
     (
         rows.write.option("lineSep", END + END)
         .option("compression", "gzip")

@@ -1,6 +1,7 @@
 from urllib.parse import quote
 
-from gitloom.llm.url_filter import UrlRule, judge_urls
+from gitloom.llm import bloom
+from gitloom.llm.url_filter import UrlRule, bad_pages, judge_urls
 
 RULES = (
     UrlRule("com", "/", "allow"), UrlRule("bad.com", "/x/", "block"),
@@ -45,3 +46,42 @@ def test_equals_brute_force(spark):
     assert judge_urls(pages.limit(0), table, RULES).count() == 0
     plan = judge_urls(pages, table, RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_filter_is_sized_by_its_keys(spark):
+    n = 100_000
+    keys = spark.range(n).selectExpr("concat('http://a.org/', id) as key")
+    others = spark.range(n).selectExpr("concat('http://b.org/', id) as key")
+    blocks = bloom.blocks_for(n)
+    assert blocks < n and bloom.blocks_for(1 << 60) == bloom.MAX_BLOCKS and bloom.blocks_for(0) == 1
+    built = bloom.build_filter(keys, "key", blocks)
+    assert bloom.possible_hits(keys, "key", built, blocks).where("not __possible").isEmpty()
+    assert bloom.possible_hits(others, "key", built, blocks).where("__possible").count() < 0.02 * n
+
+
+def test_hot_listed_url(spark):
+    rows = [(i, "http://hot.org/p" if i % 3 == 0 else f"http://x{i}.org/p") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    listed = spark.createDataFrame([("http://hot.org/p/",)] * 5, "url string")
+    blocked = judge_urls(pages, listed, ()).where("verdict = 'block'")
+    assert [r[0] for r in blocked.orderBy("page_id").select("page_id").collect()] == list(range(0, 3000, 3))
+
+
+def test_bad_pages(spark):
+    prose = " ".join(f"w{i}" for i in range(60))
+    parts = [f"<p>{prose} {i}</p>" for i in range(6)]
+    cases = {
+        "http://good.org/": f"<nav>a</nav><article><h1>t</h1>{''.join(parts)}</article>",
+        "http://plain.org/": f"<body><div>{prose}</div></body>",
+        "http://thin.org/": f"<nav>{prose}</nav><article><p>only a few words</p></article>",
+        "http://again.org/": f"<article>{parts[0] * 3}{''.join(parts[:3])}</article>",
+        "http://my.SPAM-farm.org/": f"<article>{''.join(parts)}</article>",
+        "http://x.org/spam": f"<article>{''.join(parts)}</article>",
+        "http://none.org/": None,
+        "http://empty.org/": "",
+        None: f"<article>{''.join(parts)}</article>",
+    }
+    pages = spark.createDataFrame([(u, h, "clash") for u, h in cases.items()], "url string, html string, host string")
+    found = {r[0] for r in bad_pages(pages).collect()}
+    assert found == {f"http://{h}.org/" for h in ("thin", "again", "my.SPAM-farm", "none", "empty")}
+    assert bad_pages(pages.limit(0)).isEmpty()

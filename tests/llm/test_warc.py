@@ -59,3 +59,25 @@ def test_revisit_records_hold_no_payload_and_reads_are_checked(spark):
 def test_no_pages(spark):
     path = _stored(spark, [])
     assert warc.resolve_revisits(warc.read_archives(spark, path)).count() == 0
+
+
+def test_pages_that_the_filters_let_through_are_joined_exactly(spark, monkeypatch):
+    monkeypatch.setattr(warc, "blocks_for", lambda keys: 1)  # both filters are full
+    bodies = {i: f"{i % 150}-" * 600 if i < 300 else f"{i}|" * 600 for i in range(900)}
+    rows = [(i, f"http://h/{i}", body, "clash") for i, body in bodies.items()]
+    path = _stored(spark, rows)
+    found = warc.resolve_revisits(warc.read_archives(spark, path)).collect()
+    assert sorted(r["page_id"] for r in found) == sorted(bodies)
+    for r in found:
+        again = r["page_id"] < 150
+        assert (r["record_type"], r["refers_to"]) == (("revisit", r["page_id"] + 150) if again else ("response", None))
+        assert bytes(r["payload"]).decode() == bodies[r["page_id"]]
+
+
+def test_payloads_of_unique_pages_are_not_shuffled(spark):
+    rows = [(i, "u", ("same" if i % 3 == 0 else f"{i}") * 900, "clash") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string")
+    kept, found, n, n_bytes = warc.deduplicated(pages)
+    assert (n, n_bytes) == (300, sum(len(r[2]) for r in rows))
+    assert (kept.count(), found.count()) == (201, 99)
+    assert "payload" not in found.columns
