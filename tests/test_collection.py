@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,31 @@ def test_silhouette_over_several_centroid_blocks(spark, monkeypatch):
     assert got[1] == pytest.approx((10 - 1) / 10) and got[2] == pytest.approx((8 - 1) / 8)
     assert got[3] == pytest.approx(1.0) and got[5] is None
     assert cl.mean_silhouette(df.where("cluster_id < 2")) > 0
+
+
+def test_sample_silhouettes_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cl, "CENTROID_BLOCK", 2)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(100 + i % 5, 1, 3)], i % 5) for i in range(40)]
+    rows += [(40, [0.0, 0.0, 0.0], -1), (41, [90.0, 90.0, 90.0], 7)]  # noise and a lone member
+    rows += [(i, [5.0, 5.0, 5.0], 8 + i % 2) for i in (50, 51, 52, 53)]  # two clusters in one place
+    df = spark.createDataFrame(rows, "id int, embedding array<double>, cluster_id int")
+    got = {r.id: r.silhouette for r in cl.sample_silhouettes(df).collect()}
+    assert len(got) == len(rows)
+    for i, x, label in rows:
+        gaps = {}
+        for j, y, other in rows:
+            if j != i and other != -1:
+                gaps.setdefault(other, []).append(sum((p - q) ** 2 for p, q in zip(x, y, strict=True)))
+        means = {k: sum(v) / len(v) for k, v in gaps.items()}
+        b = min(m for k, m in means.items() if k != label)
+        a = means.get(label)
+        if label == -1:
+            assert got[i] is None
+        elif a is None or max(a, b) == 0:
+            assert got[i] == 0
+        else:
+            assert got[i] == pytest.approx((b - a) / max(a, b), abs=1e-9)
+    one = cl.sample_silhouettes(df.where("cluster_id = 0")).select("silhouette").collect()
+    assert [r[0] for r in one] == [None] * 8
+    assert cl.sample_silhouettes(df.limit(0)).isEmpty()
