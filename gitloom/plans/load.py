@@ -56,7 +56,7 @@ def load_frame(
         n = ready.count()
         if n:
             if mode == "full":
-                store.replace_all(ready, root)
+                store.replace_all(ready, root, stored=True)
             else:
                 store.append_new(ready, root)
     return n

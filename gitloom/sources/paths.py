@@ -31,3 +31,24 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _file_system(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file that appears whole: written beside its place and renamed."""
+    beside = f"{path}.tmp"
+    fs, hadoop_path = _file_system(spark, beside)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    rename(spark, beside, path)

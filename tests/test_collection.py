@@ -1,6 +1,7 @@
 """Loads into the collection, embedding slices, the stream, clusters."""
 
 import math
+import pathlib
 
 import numpy as np
 import pytest
@@ -169,3 +170,63 @@ def test_sample_silhouettes_equal_all_pairs(spark, monkeypatch):
     one = cl.sample_silhouettes(df.where("cluster_id = 0")).select("silhouette").collect()
     assert [r[0] for r in one] == [None] * 8
     assert cl.sample_silhouettes(df.limit(0)).isEmpty()
+
+
+def _many(spark, numbers, suffix=""):
+    rows = [(f"i{n}", f"d{n}{suffix}", {"k": "v"}) for n in numbers]
+    base = spark.createDataFrame(rows, "id string, document string, metadata map<string,string>")
+    return embed_column(base, "document", stub_embedder())
+
+
+def _files(root):
+    return {str(p.relative_to(root)) for p in pathlib.Path(root).rglob("part-*.parquet")}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark):
+    root = scratch_path(spark, "buckets")
+    store.replace_all(_many(spark, range(200)), root, buckets=16)
+    before = _files(root)
+    assert len({f.split("/")[2] for f in before}) == 16
+    store.upsert(_many(spark, [3, 500], " new"), root)
+    written = {f.split("/")[2] for f in _files(root) - before}
+    assert 1 <= len(written) <= 2
+    expected = {f"i{n}": f"d{n}" for n in range(200)} | {"i3": "d3 new", "i500": "d500 new"}
+    assert stored(spark, root) == expected
+    assert store.read_collection(spark, root).count() == 201
+    store.append_new(_many(spark, [600]), root)
+    assert stored(spark, root) == expected | {"i600": "d600"}
+    store.upsert(_many(spark, range(200), " all"), root)  # every bucket: laid out anew
+    assert stored(spark, root)["i7"] == "d7 all" and len(stored(spark, root)) == 202
+    store.replace_all(_many(spark, [1]), root)
+    store.replace_all(_many(spark, [2]), root)
+    assert stored(spark, root) == {"i2": "d2"}
+    assert len(list(pathlib.Path(root, "data").iterdir())) == 2  # the version and its predecessor
+
+
+def test_crash_between_data_and_manifest_leaves_the_old_version(spark, monkeypatch):
+    root = scratch_path(spark, "crash")
+    store.replace_all(_many(spark, range(20)), root, buckets=4)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "write_text", fail)
+        for change in (store.upsert, store.append_new, store.replace_all):
+            with pytest.raises(OSError):
+                change(_many(spark, [1, 99], " new"), root)
+            assert stored(spark, root) == {f"i{n}": f"d{n}" for n in range(20)}
+    store.upsert(_many(spark, [1], " new"), root)
+    assert stored(spark, root)["i1"] == "d1 new" and len(stored(spark, root)) == 20
+    named = {name for v in store._versions(spark, root) for name, _ in store._manifest(spark, root, v)["folders"]}
+    assert {p.name for p in pathlib.Path(root, "data").iterdir()} == named  # nothing of the lost jobs
+
+
+def test_appends_merge_their_folders(spark, monkeypatch):
+    monkeypatch.setattr(store, "MAX_FOLDERS", 3)
+    root = scratch_path(spark, "appends")
+    store.replace_all(_many(spark, [0]), root)
+    for n in range(1, 6):
+        store.append_new(_many(spark, [n]), root)
+        assert len(store._manifest(spark, root)["folders"]) <= 3
+    assert stored(spark, root) == {f"i{n}": f"d{n}" for n in range(6)}
