@@ -87,12 +87,19 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def original_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[dict]:
-    """Character offsets in the original text of ranges of words."""
+    """Character offsets in the original text of ascending ranges of words, in one pass."""
     if not ranges:
         return []
     places = [m.span() for m in _WORD.finditer(normalise(text))]
-    at = lambda offset: len(text[:offset].decode("utf-8", "replace"))
-    return [{"start": at(places[a][0]), "end": at(places[b - 1][1])} for a, b in ranges]
+    found, at, n_chars = [], 0, 0
+    for a, b in ranges:
+        ends = []
+        for offset in (places[a][0], places[b - 1][1]):
+            n_chars += len(text[at:offset].decode("utf-8", "replace"))
+            at = offset
+            ends.append(n_chars)
+        found.append({"start": ends[0], "end": ends[1]})
+    return found
 
 
 def item_chunks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[object, bytes]]]:

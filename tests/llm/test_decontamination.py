@@ -35,3 +35,12 @@ def test_equals_brute_force(spark):
     clean = decontamination.mark_contamination(docs, benchmark.limit(0))
     assert clean.where("contaminated or n_hit > 0 or size(items) > 0").isEmpty()
     assert clean.agg({"n_words": "sum"}).first()[0] == sum(len(brute.benchmark_words(t)) for t in texts)
+
+
+def test_spans_of_many_hits_in_a_long_text():
+    text = "é a ü, " * 50_000
+    ranges = [(3 * i, 3 * i + 1) for i in range(50_000)]
+    spans = decontamination.original_spans(text.encode(), ranges)
+    assert [text[s["start"] : s["end"]] for s in spans] == ["é"] * 50_000
+    assert [s["start"] for s in spans] == list(range(0, 7 * 50_000, 7))
+    assert decontamination.original_spans(b"", []) == []
