@@ -1,8 +1,10 @@
 """Group similar summaries into batches for category discovery.
 
-K-means as Spark jobs: points stay in blocks, the centres of all restarts are a table, and
-one iteration of all restarts is one job. Neither points nor centres pass the driver, so
-the number of batches has no bound and the method is the same at every size.
+K-means as Spark jobs: copies are one weighted point, points stay in blocks, the centres of
+all restarts are a table, and one iteration serves all restarts. Starts come from
+oversampling (:mod:`gitloom.operators.seeding`), and a block meets only centres that bounds
+leave open (:mod:`gitloom.operators.nearest`). Neither points nor centres pass the driver,
+so the number of batches has no bound and the method is the same at every size.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gitloom.operators.neighbours import small_arrow_batches, squared
+from gitloom.operators.nearest import assign, in_cells, ranges, reached, unpack, values
+from gitloom.operators.neighbours import BLOCK_ROWS, Space, build_space, small_arrow_batches
 from gitloom.operators.ordering import ordered_prefix
+from gitloom.operators.seeding import starts
 from gitloom.session import cut
 
 # --- fixed values ---
@@ -28,8 +32,6 @@ MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
 SUMMARIES_PER_BATCH = 20
 # --- end of fixed values ---
-# A block of points or centres has two to this power rows.
-BLOCK_BITS = 10
 
 
 def batch_count(n: int, per_batch: int = SUMMARIES_PER_BATCH) -> int:
@@ -42,141 +44,102 @@ def batch_count_column(df: DataFrame, per_batch: int = SUMMARIES_PER_BATCH) -> D
     )
 
 
-def _blocks(points: DataFrame, number: str, *keys: str) -> DataFrame:
-    """``keys, blk, numbers, flat``: the vectors of up to 1024 following numbers in a row."""
-    rows = points.groupBy(*keys, F.shiftright(number, BLOCK_BITS).alias("blk")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(number).alias("number"), "vec"))).alias("rows")
-    )
-    return rows.select(
-        *keys, "blk", F.col("rows.number").alias("numbers"), F.flatten("rows.vec").alias("flat")
-    )
-
-
-def _values(column: pa.Array, row: int) -> np.ndarray:
-    return column[row].values.to_numpy(zero_copy_only=False)
-
-
-def _nearest(blocks: DataFrame, centres: DataFrame) -> DataFrame:
-    """``blk, numbers, flat, seed, near``: for each restart the nearest centre of each point.
-
-    The centres are a query set that all points are compared with, block by block.
-    """
-    sent = _blocks(centres, "c", "seed").withColumnsRenamed({"numbers": "cs", "flat": "cflat"})
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {"blk": [], "seed": [], "d": [], "c": []}
-            for i in range(batch.num_rows):
-                names = _values(batch.column("cs"), i)
-                y = _values(batch.column("cflat"), i).reshape(len(names), -1)
-                d = squared(_values(batch.column("flat"), i).reshape(-1, y.shape[1]), y)
-                at = d.argmin(1)
-                found["blk"].append(batch.column("blk")[i].as_py())
-                found["seed"].append(batch.column("seed")[i].as_py())
-                found["d"].append(d[np.arange(len(d)), at].astype("<f8").tobytes())
-                found["c"].append(names[at].astype("<i8").tobytes())
-            yield pa.RecordBatch.from_pydict(found)
-
-    met = blocks.select("blk", "flat").join(sent.select("seed", "cs", "cflat"), F.lit(True))
-    ways = met.mapInArrow(compare, "blk long, seed long, d binary, c binary")
-    near = ways.groupBy("blk", "seed").agg(F.collect_list(F.struct("d", "c")).alias("near"))
-    return blocks.join(near, "blk")
-
-
-def _choose(near: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest distance over the blocks of centres, ties to the smaller centre."""
-    d = np.stack([np.frombuffer(x["d"], "<f8") for x in near])
-    c = np.stack([np.frombuffer(x["c"], "<i8") for x in near])
-    best = d.min(0)
-    return best, np.where(d == best, c, np.iinfo(np.int64).max).min(0)
-
-
-def _moved(blocks: DataFrame, centres: DataFrame) -> DataFrame:
-    """``seed, c, vec, n, cost``: the means of the points nearest to each centre."""
+def _moved(space: Space, near: DataFrame, centres: DataFrame) -> DataFrame:
+    """``seed, c, vec, cost, shift``: the means of the points nearest to each centre, the sum
+    of squared distances to them (from sums of squares, so with their rounding) and how far
+    the centre has moved; a centre without points has no row."""
+    dim = space.dim
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"seed": [], "c": [], "vec": [], "n": [], "cost": []}
+            out = {"seed": [], "c": [], "vec": [], "n": [], "inner": []}
             for i in range(batch.num_rows):
-                d, c = _choose(batch.column("near")[i].as_py())
-                x = _values(batch.column("flat"), i).reshape(len(c), -1)
-                seed = batch.column("seed")[i].as_py()
-                names, at, n = np.unique(c, return_inverse=True, return_counts=True)
-                sums = np.zeros((len(names), x.shape[1]))
-                np.add.at(sums, at, x)
-                out["seed"] += [seed] * len(names)
-                out["c"] += names.tolist()
-                out["vec"] += (sums / n[:, None]).tolist()
-                out["n"] += n.astype(float).tolist()
-                out["cost"] += np.bincount(at, d, len(names)).tolist()
-            yield pa.RecordBatch.from_pydict(
-                {k: pa.array(v, kinds[k]) for k, v in out.items()}
-            )
+                w = values(batch.column("mult"), i).astype(float)
+                x = values(batch.column("flat"), i).reshape(-1, dim)
+                names, at = np.unique(unpack(batch.column("c"), i, "<i8"), return_inverse=True)
+                n = np.bincount(at, w, len(names))
+                sums = np.zeros((len(names), dim))
+                np.add.at(sums, at, x * w[:, None])
+                inner = np.bincount(at, w * (x * x).sum(1), len(names))
+                out["seed"] += [batch.column("seed")[i].as_py()] * len(names)
+                for name, column in (("c", names), ("vec", sums / n[:, None]), ("n", n), ("inner", inner)):
+                    out[name] += column.tolist()
+            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
 
     real = pa.float64()
-    kinds = {"seed": pa.int64(), "c": pa.int64(), "vec": pa.list_(real), "n": real, "cost": real}
-    parts = _nearest(blocks, centres).select("seed", "flat", "near").mapInArrow(
-        add_up, "seed long, c long, vec array<double>, n double, cost double"
+    kinds = {"seed": pa.int64(), "c": pa.int64(), "vec": pa.list_(real), "n": real, "inner": real}
+    rows = near.select("blk", "seed", "c").join(space.blocks.select("blk", "mult", "flat"), "blk")
+    parts = rows.select("seed", "c", "mult", "flat").mapInArrow(
+        add_up, "seed long, c long, vec array<double>, n double, inner double"
     )
+    # The old centres come along without weight, which saves a join.
+    none = F.lit(0.0)
+    old = centres.select("seed", "c", "vec", none.alias("n"), none.alias("inner"), F.col("vec").alias("old"))
     mean = Summarizer.mean(array_to_vector("vec"), F.col("n"))
-    return parts.groupBy("seed", "c").agg(
-        vector_to_array(mean).alias("vec"), F.sum("n").alias("n"), F.sum("cost").alias("cost")
+    found = parts.withColumn("old", F.lit(None).cast("array<double>")).unionByName(old).groupBy("seed", "c").agg(
+        vector_to_array(mean).alias("vec"), F.sum("n").alias("n"), F.sum("inner").alias("inner"),
+        F.first("old", ignorenulls=True).alias("old"),
+    )
+    length = F.aggregate("vec", none, lambda total, x: total + x * x)
+    return found.where("n > 0").select(
+        "seed", "c", "vec",
+        F.greatest(F.col("inner") - F.col("n") * length, none).alias("cost"),
+        F.sqrt(_gap("vec", "old")).alias("shift"),
     )
 
 
-def _first_centres(points: DataFrame, k: int, restarts: int) -> DataFrame:
-    """For each restart ``k`` distinct vectors, drawn by a hash of seed and vector."""
-    seeds = F.array(*[F.lit(FIRST_SEED + i).cast("long") for i in range(restarts)])
-    drawn = points.select("vec").distinct().select("vec", F.explode(seeds).alias("seed"))
-    keyed = drawn.withColumn("lot", F.xxhash64("seed", "vec"))
-    ranked = ordered_prefix(keyed, ["seed"], ["lot", "vec"], None, "c")
-    return ranked.where(F.col("c") <= k).select("seed", "c", "vec")
+def _gap(a, b):
+    """Squared distance of two arrays."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
 
-def _best_labels(points: DataFrame, k: int, restarts: int) -> DataFrame:
-    """``row, batch, d`` of the restart with the lowest cost; centres that lost all their
+def _best_labels(space: Space, k: int, restarts: int) -> DataFrame:
+    """``idx, batch, d`` of the restart with the lowest cost; centres that lost all their
     points have no rows."""
-    spark = points.sparkSession
-    with small_arrow_batches(spark, 64):
-        blocks = cut(_blocks(points, "row"), "point-blocks")
-        moving = cut(_first_centres(points, k, restarts), "centres")
-        settled = None
+    seeds = [FIRST_SEED + i for i in range(restarts)]
+    with small_arrow_batches(space.blocks.sparkSession, 64):
+        centres = cut(in_cells(starts(space, k, seeds), space), "centres")
+        at, near, moved, settled, costs = reached(centres, space), None, {}, [], {}
         for number in range(1, MAX_ITERATIONS + 1):
-            after = cut(_moved(blocks, moving), "centres")
-            old = moving.select("seed", "c", F.col("vec").alias("old"))
-            gap = F.aggregate(
-                F.zip_with("vec", "old", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x
-            )
-            shifts = after.join(old, ["seed", "c"]).groupBy("seed").agg(F.max(gap).alias("shift"))
-            done = [r["seed"] for r in shifts.collect() if r["shift"] <= TOLERANCE**2]
-            if number == MAX_ITERATIONS:
-                still = after
-            else:
-                still = after.where(F.col("seed").isin(*done)) if done else None
-            if still is not None:
-                settled = still if settled is None else settled.unionByName(still)
-            moving = after.where(~F.col("seed").isin(*done)) if done else after
-            if number == MAX_ITERATIONS or len(done) and moving.isEmpty():
+            near = assign(space, centres, at, near, moved)
+            after = cut(in_cells(_moved(space, near, centres), space), "centres")
+            found = after.groupBy("seed", "cell").agg(
+                F.min("reach").alias("low"), F.max("reach").alias("high"),
+                F.max("shift").alias("shift"), F.sum("cost").alias("cost"),
+            ).collect()  # at most MAX_PIVOTS rows a seed
+            at, moved, cost = ranges(found, space), {}, {}
+            for r in found:
+                moved[r["seed"]] = max(moved.get(r["seed"], 0.0), r["shift"])
+                cost[r["seed"]] = cost.get(r["seed"], 0.0) + r["cost"]
+            done = [s for s, shift in moved.items() if shift <= TOLERANCE or number == MAX_ITERATIONS]
+            if done:
+                settled.append(after.where(F.col("seed").isin(*done)))
+                costs |= {s: cost[s] for s in done}
+                at = {s: r for s, r in at.items() if s not in costs}
+                near = near.where(F.col("seed").isin(*at))
+            centres = after.where(F.col("seed").isin(*at))
+            if not at:
                 break
-        costs = settled.groupBy("seed").agg(F.sum("cost").alias("cost"))
-        best = costs.orderBy("cost", "seed").first()["seed"]
-        near = _nearest(blocks, settled.where(F.col("seed") == best).select("seed", "c", "vec"))
+        best = min(costs, key=lambda s: (costs[s], s))
+        final = next(t for t in (t.where(F.col("seed") == best) for t in settled) if not t.isEmpty())
+        near = assign(space, final, reached(final, space))
 
         def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    d, c = _choose(batch.column("near")[i].as_py())
-                    numbers = _values(batch.column("numbers"), i)
+                    c, d = unpack(batch.column("c"), i, "<i8"), unpack(batch.column("near"), i, "<f8")
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(numbers), pa.array(c), pa.array(d)], names=["row", "batch", "d"]
+                        [pa.array(values(batch.column("ids"), i)), pa.array(c), pa.array(d)],
+                        names=["idx", "batch", "d"],
                     )
 
+        rows = near.select("blk", "c", "near").join(space.blocks.select("blk", "ids"), "blk")
         return cut(
-            near.select("numbers", "near").mapInArrow(label, "row long, batch long, d double"), "labels"
+            rows.select("ids", "c", "near").mapInArrow(label, "idx long, batch long, d double"), "labels"
         )
 
 
-def _fill_empty(points: DataFrame, labels: DataFrame, k: int) -> DataFrame:
+def _fill_empty(space: Space, labels: DataFrame, k: int) -> DataFrame:
     """Give every batch without points one vector: the farthest from their centres.
 
     One vector of each batch is kept out of it, so that no batch is emptied; the others
@@ -186,18 +149,18 @@ def _fill_empty(points: DataFrame, labels: DataFrame, k: int) -> DataFrame:
     lacking = k - used.count()
     if lacking == 0:
         return labels
-    vectors = points.join(labels, "row").groupBy("batch", "vec").agg(F.max("d").alias("d"))
-    kept = vectors.groupBy("batch").agg(F.min(F.struct("d", "vec")).alias("m"))
-    free = vectors.join(kept, (vectors.batch == kept.batch) & (vectors.vec == F.col("m.vec")), "left_anti")
-    keyed = free.select(F.lit(0).alias("all"), (-F.col("d")).alias("far"), "batch", "vec")
-    ranked = ordered_prefix(keyed, ["all"], ["far", "batch", "vec"], None, "place")
-    names = points.sparkSession.range(1, k + 1).withColumnRenamed("id", "batch").join(used, "batch", "left_anti")
+    kept = labels.groupBy("batch").agg(F.min(F.struct("d", "idx")).alias("m")).select("m.idx")
+    free = labels.join(kept, "idx", "left_anti")
+    keyed = free.select(F.lit(0).alias("all"), (-F.col("d")).alias("far"), "idx")
+    ranked = ordered_prefix(keyed, ["all"], ["far", "idx"], None, "place")
+    names = space.blocks.sparkSession.range(1, k + 1).withColumnRenamed("id", "batch").join(used, "batch", "left_anti")
     named = ordered_prefix(names.withColumn("all", F.lit(0)), ["all"], ["batch"], None, "place")
-    moved = ranked.where(F.col("place") <= lacking).select("place", "vec").join(
+    changed = ranked.where(F.col("place") <= lacking).select("place", "idx").join(
         named.select("place", F.col("batch").alias("new")), "place"
     )
-    changed = points.join(moved, "vec").select("row", "new")
-    return labels.join(changed, "row", "left").select("row", F.coalesce("new", "batch").alias("batch"))
+    return labels.join(changed.select("idx", "new"), "idx", "left").select(
+        "idx", F.coalesce("new", "batch").alias("batch")
+    )
 
 
 def kmeans_batches(
@@ -206,6 +169,7 @@ def kmeans_batches(
     id_col: str = "id",
     vec_col: str = "embedding",
     restarts: int = RESTARTS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``id, batch``: k-means with a batch for every ``per_batch`` rows; every row gets one.
 
@@ -222,9 +186,12 @@ def kmeans_batches(
     )
     k = batch_count(points.count(), per_batch)
     if k > 1:
-        k = min(k, points.select("vec").distinct().count())
+        space = build_space(points, "row", "vec", block_rows, listed=False)
+        k = min(k, space.n)
     if k <= 1:
         return points.select("id", F.lit(0).cast("long").alias("batch"))
-    labels = _fill_empty(points, _best_labels(points, k, restarts), k)
-    numbered = points.select("id", "row").join(labels, "row")
-    return cut(numbered.select("id", (F.col("batch") - 1).alias("batch")), "batches")
+    labels = _fill_empty(space, _best_labels(space, k, restarts), k)
+    numbered = space.members.join(labels, "idx").select(F.col("id").cast("long").alias("row"), "batch")
+    return cut(
+        points.select("id", "row").join(numbered, "row").select("id", (F.col("batch") - 1).alias("batch")), "batches"
+    )
