@@ -6,6 +6,7 @@ import pytest
 
 from gitloom.operators import categories as ct
 from gitloom.operators import disagreement as ds
+from gitloom.operators import near_pairs
 from gitloom.operators.near_pairs import pairs_without_common, similar_pairs
 
 
@@ -58,6 +59,15 @@ def test_unlike_pairs_are_counted(spark):
     assert tuple(pairs_without_common(df.limit(0)).first()) == (0, 0, 0)
 
 
+def test_pairs_that_cannot_be_similar_are_not_compared(spark):
+    """Sets that share an element but have too little left after it do not meet."""
+    rows = [(i, [*[f"x{i}_{j}" for j in range(6)], "tie", "b", "c"]) for i in range(40)]
+    rows += [(100 + i, [*items[:8], f"z{i}"]) for i, items in rows[:5]]
+    coded = near_pairs.coded_classes(near_pairs.set_classes(spark.createDataFrame(rows, "id long, items array<string>"), "id", "items"))
+    met = near_pairs.meeting_pairs(coded, 50, "cosine").collect()
+    assert {(r.a, r.b) for r in met} == {(i, 100 + i) for i in range(5)}
+
+
 def test_names_that_are_nearly_the_same_become_one(spark):
     names = ["Bug Fixes", "bug  fixes", "Bug Fix", "Bug fixing", "Documentation", "Documentations", "Refactoring", "ab", "AB", "ba", "é"]
     names += ["chain of many parts 1", "chain of many parts 2", "chain of more parts 2", "chain of more ports 2"]
