@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from gitloom.operators import categories as ct
@@ -59,6 +60,25 @@ def test_unlike_pairs_are_counted(spark):
     assert tuple(pairs_without_common(df.limit(0)).first()) == (0, 0, 0)
 
 
+def test_common_pairs_are_counted_by_blocks(spark):
+    """Blocks of any size give the same number, and no plan lists the pairs."""
+    sets = _sets()
+    df = spark.createDataFrame(list(sets.items()), "id long, items array<string>")
+    wanted = tuple(pairs_without_common(df).first())
+    for entries in (1, 40, 300):
+        assert tuple(pairs_without_common(df, block_entries=entries).first()) == wanted
+    rng = np.random.RandomState(4)
+    held = [[np.unique(rng.randint(0, 900, rng.randint(1, 30))) for _ in range(n)] for n in (300, 500)]
+    blocks = [(np.cumsum([len(x) for x in xs]), np.concatenate(xs)) for xs in held]
+    common = sum(bool(np.intersect1d(x, y).size) for x in held[0] for y in held[1])
+    for cells, share in ((1 << 22, 128), (1 << 22, 2), (700, 5)):
+        near_pairs.CELLS, near_pairs.HOT_SHARE, kept = cells, share, (near_pairs.CELLS, near_pairs.HOT_SHARE)
+        try:
+            assert near_pairs.count_common(*blocks[0], *blocks[1]) == common
+        finally:
+            near_pairs.CELLS, near_pairs.HOT_SHARE = kept
+
+
 def test_pairs_that_cannot_be_similar_are_not_compared(spark):
     """Sets that share an element but have too little left after it do not meet."""
     rows = [(i, [*[f"x{i}_{j}" for j in range(6)], "tie", "b", "c"]) for i in range(40)]
