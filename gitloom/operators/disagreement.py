@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gitloom.functions.text import bigram_set, bigrams
+from gitloom.functions.text import bigram_set, bigrams, let
 from gitloom.functions.vectors import set_cosine_distance, set_euclidean_distance
 from gitloom.operators.ordering import keep_first, ordered_prefix
 from gitloom.session import cut
@@ -62,25 +62,42 @@ def run_pairs(runs: DataFrame, order: Sequence[str]) -> DataFrame:
     """Pairs of the same commit in two runs, ``source_1 < source_2``, with set distances.
 
     ``runs`` holds ``commit_hash, source_file, semantic_summary``. One row per commit
-    and run is kept first, so a commit has at most as many rows as there are runs, and
-    the equi-join stays small however often a commit was written.
+    and run is kept first, so a commit has at most as many rows as there are runs however
+    often it was written. These meet as texts, in one row a commit: bigram sets, which are
+    larger, are made there, once for each text, and never shuffled.
     """
-    first = keep_first(runs, ["commit_hash", "source_file"], order)
-    sets = first.select(
-        "commit_hash", "source_file", bigram_set(F.col("semantic_summary")).alias("bigrams")
+    columns = ["commit_hash", "source_file", "semantic_summary"]
+    known = runs.where("commit_hash is not null and source_file is not null")
+    known = known.select(*columns, *[c for c in order if c not in columns])
+    first = keep_first(known, ["commit_hash", "source_file"], order)
+    texts = F.sort_array(F.collect_list(F.struct("source_file", "semantic_summary")))
+    sets = F.transform(
+        "texts",
+        lambda t: F.struct(t["source_file"].alias("source"), bigram_set(t["semantic_summary"]).alias("b")),
     )
-    left = sets.select("commit_hash", F.col("source_file").alias("source_1"), F.col("bigrams").alias("b1"))
-    right = sets.select("commit_hash", F.col("source_file").alias("source_2"), F.col("bigrams").alias("b2"))
-    shared = F.size(F.array_intersect("b1", "b2"))
+
+    def pairs(held: Column) -> Column:
+        def with_later(x: Column, i: Column) -> Column:
+            return F.transform(F.slice(held, i + 2, F.size(held)), lambda y: pair(x, y))
+
+        return F.flatten(F.transform(held, with_later))
+
+    def pair(x: Column, y: Column) -> Column:
+        n1, n2 = F.size(x["b"]), F.size(y["b"])
+        both = F.size(F.array_intersect(x["b"], y["b"]))
+        return F.struct(x["source"].alias("source_1"), y["source"].alias("source_2"), n1.alias("n1"), n2.alias("n2"), both.alias("shared"))
+
+    n1, n2, shared = F.col("n1"), F.col("n2"), F.col("shared")
     return (
-        left.join(right, "commit_hash")
-        .where(F.col("source_1") < F.col("source_2"))
+        first.groupBy("commit_hash")
+        .agg(texts.alias("texts"))
+        .select("commit_hash", F.inline(let(sets, pairs)))
         .select(
             "commit_hash",
             "source_1",
             "source_2",
-            set_cosine_distance(shared, F.size("b1"), F.size("b2")).alias("distance"),
-            set_euclidean_distance(shared, F.size("b1"), F.size("b2")).alias("euclidean"),
+            set_cosine_distance(shared, n1, n2).alias("distance"),
+            set_euclidean_distance(shared, n1, n2).alias("euclidean"),
         )
     )
 

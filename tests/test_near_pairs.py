@@ -123,3 +123,15 @@ def test_sparse_terms_equal_the_sets(spark):
     got = {r.id: r.terms for r in vectors.collect()}
     expected = {1: ["the cat", "cat sat", "sat on", "on the"], 2: ["on the", "the mat", "mat again"], 3: [], 4: [], 5: []}
     assert got == {i: sorted(listed[b] for b in found) for i, found in expected.items()}
+
+
+def test_run_pairs_meet_as_texts(spark):
+    """One row a commit: no join of bigram sets, and the text is carried once where it is the order."""
+    rows = [("c1", "a", "x y z"), ("c1", "a", "w w w"), ("c1", "b", "aa bb cc"), ("c1", "c", "bb cc dd"), ("c2", "a", "aa bb"), ("c2", "b", None)]
+    rows += [(None, "a", "aa bb"), (None, "b", "aa bb"), ("c3", None, "aa bb"), ("c3", "a", "aa bb"), ("c4", "b", "aa bb"), ("c4", "a", "aa bb")]
+    runs = spark.createDataFrame(rows, "commit_hash string, source_file string, semantic_summary string")
+    pairs = ds.run_pairs(runs, ["semantic_summary"])
+    got = {(r.commit_hash, r.source_1, r.source_2): r.distance for r in pairs.collect()}
+    assert got == {("c1", "a", "b"): None, ("c1", "a", "c"): None, ("c1", "b", "c"): 0.5, ("c2", "a", "b"): None, ("c4", "a", "b"): 0.0}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "min_by" not in plan
