@@ -206,7 +206,7 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
 def recounted(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``rest`` with ``shared`` counted anew: the shingles that a class of another component
     has too. Classes that cannot reach the threshold with these have no link left."""
-    who = rest.select("cid", "comp").distinct()
+    who = rest.select("cid", "comp")
     rows = sets.join(who.hint("merge"), "cid").select("cid", "comp", F.explode("shingles").alias("h"))
     common = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
     counted = rows.join(common.select("h").hint("merge"), "h").groupBy("cid").agg(F.count("*").alias("shared"))
@@ -214,9 +214,24 @@ def recounted(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.where(F.col("shared") * 100 >= F.col("n") * percent)
 
 
-def opened(live: DataFrame, turn: int, percent: int) -> DataFrame:
+#: What a row of a class has beside its buckets.
+_CLASS = ("comp", "n", "signature", "shared", "marks")
+
+
+def by_class(members: DataFrame, *columns: str) -> DataFrame:
+    """One row a class: ``cid``, ``columns`` and ``at``, its places in buckets (one a band).
+
+    So that a class meets its new component once, not once in each of its buckets.
+    """
+    places = F.collect_list(F.struct("bucket", "band", "lot", "m")).alias("at")
+    return members.groupBy("cid").agg(*[F.first(c).alias(c) for c in columns], places)
+
+
+def opened(rest: DataFrame, turn: int, percent: int) -> DataFrame:
     """Members of buckets that still hold more than one component, with ``pivot`` and ``last``.
 
+    ``rest`` has one row a class (``by_class``), the result one for each bucket of a class.
+
     Two classes of different components are not both in the largest one of their bucket. So
     where few members are outside of it, these are the pivots and the turn is the bucket's
     ``last``; else some of all members are, four times as many as in the turn before. Turns
@@ -224,6 +239,7 @@ def opened(live: DataFrame, turn: int, percent: int) -> DataFrame:
     ``slack`` is what any partner in the bucket has for itself alone: a class whose shared
     shingles do not reach the threshold over its own size and that has no link left.
     """
+    live = rest.select("cid", *_CLASS, F.inline("at"))
     counted = live.groupBy("bucket", "comp").agg(
         F.count("*").alias("c"), F.min(F.col("n") - F.col("shared")).alias("alone")
     )
@@ -339,7 +355,7 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: st
         .where(F.col("shared") * 100 >= F.col("n") * percent)
         .drop("unshared")
     )
-    members = members.join(brief.hint("merge"), "cid")
+    places = by_class(members).join(brief.hint("merge"), "cid")
     edges: list[DataFrame] = []
 
     def linked(pairs: DataFrame, rest: DataFrame) -> DataFrame:
@@ -350,16 +366,17 @@ def class_components(docs: DataFrame, classes: DataFrame, percent: int, text: st
         edges.append(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
         labels = cut(merged(edges[-1]), "labels")
         known = rest.join(labels.hint("merge"), "comp", "left")
-        return known.withColumn("comp", F.coalesce("label", "comp")).drop("label")
+        # Dealt by class again: a large component would be one task's.
+        return known.withColumn("comp", F.coalesce("label", "comp")).drop("label").repartition("cid")
 
-    turn, rest = 1, linked(star_pairs(members, brief, percent), members)
+    turn, rest = 1, linked(star_pairs(members, brief, percent), places)
     while True:
         if turn > 1:  # few are left: it pays to take their sets apart again
             rest = recounted(rest, sets, percent)
         live, left = cut_measured(opened(rest, turn, percent), "members", n=F.count("*"))
         if not left["n"]:
             break
-        rest = live.where("not last and not pivot").drop("last", "pivot")
+        rest = by_class(live.where("not last and not pivot"), *_CLASS)
         rest = linked(candidates(live, percent), rest)
         turn += 1
     if not edges:

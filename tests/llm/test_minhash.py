@@ -107,3 +107,15 @@ def test_keep_one_without_repeats_keeps_one_row_of_each_group(spark):
         found = sorted(r["class"] for r in kept.collect())
         assert found in ([1, 4, 5, 6, 7], [2, 4, 5, 6, 7])
     assert sorted(r["class"] for r in minhash.keep_one(docs.where("class > 4"), 85, repeats=False).collect()) == [5, 6, 7]
+
+
+def test_a_class_is_one_row_until_its_buckets_are_opened(spark):
+    """Ten classes in three buckets each are ten rows for a turn's labels, not thirty."""
+    rows = [(c, b, b, 0.5, 10, c % 5, 20, [c], 20, [b]) for c in range(10) for b in range(3)]
+    names = "cid long, bucket long, band int, lot double, m long, comp long, n long, signature array<long>, shared long, marks array<int>"
+    rest = minhash.by_class(spark.createDataFrame(rows, names).repartition(4), "comp", "n", "signature", "shared", "marks")
+    held = {r.cid: r for r in rest.collect()}
+    assert sorted(held) == list(range(10)) and all(r.comp == c % 5 for c, r in held.items())
+    assert all(sorted((p.bucket, p.band) for p in r["at"]) == [(0, 0), (1, 1), (2, 2)] for r in held.values())
+    live = minhash.opened(rest, 1, 85).collect()
+    assert sorted((r.cid, r.bucket) for r in live) == [(c, b) for c in range(10) for b in range(3)]
