@@ -317,10 +317,14 @@ def with_category_count(df: DataFrame) -> DataFrame:
     return df.join(counts, "category", "left")
 
 
-def roll_up_rare(df: DataFrame, threshold: int = RARE_BELOW) -> DataFrame:
-    """Categories with fewer than ``threshold`` rows become ``Other``; null stays null."""
+def roll_up_rare(df: DataFrame, threshold: int = RARE_BELOW, counted: DataFrame | None = None) -> DataFrame:
+    """Categories with fewer than ``threshold`` rows become ``Other``; null stays null.
+
+    The rows of ``counted`` are counted, by default those of ``df``. ``df`` meets the rare ones
+    by category, so long texts are better joined afterwards.
+    """
     rare = (
-        df.where(F.col("category").isNotNull())
+        (df if counted is None else counted).where(F.col("category").isNotNull())
         .groupBy("category")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") < threshold)

@@ -97,7 +97,8 @@ def categorise(
     if other_off_list:
         listed = F.when(F.col("off_list"), F.lit(ct.OTHER)).otherwise(F.col("category"))
         assigned = assigned.withColumn("category", listed)
-    return ct.roll_up_rare(ct.categorised(collection, assigned))
+    counted = collection.select("id").join(assigned.select("id", "category"), "id")
+    return ct.categorised(collection, ct.roll_up_rare(assigned, counted=counted))
 
 
 def run(spark: SparkSession, collection_root: str, out_path: str, **options) -> None:

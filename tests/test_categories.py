@@ -182,3 +182,22 @@ def test_csv_keeps_line_ends_and_quotes(spark):
 def test_export_names(spark):
     df = spark.createDataFrame([("r", "h", 1)], "repo_id string, commit_hash string, pr_id int")
     assert tables.export_view(df).columns == ["Repo ID", "commit hash", "PR ID"]
+
+
+def test_rare_categories_can_be_counted_elsewhere(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, category string")
+    counted = spark.createDataFrame([("a",)] * 10 + [("b",)] * 9, "category string")
+    got = {r.id: r.category for r in ct.roll_up_rare(rows, counted=counted).collect()}
+    assert got == {1: "a", 2: "Other", 3: None}
+
+
+def test_texts_do_not_meet_rare_categories(spark):
+    root, work = scratch_path(spark, "collection"), scratch_path(spark, "work")
+    rows = [(f"h{i}", f"alpha beta {'gamma' if i else 'delta'}", "r") for i in range(12)]
+    load_frame(spark.createDataFrame(rows, "commit_hash string, semantic_summary string, repo_id string"), root)
+    given = spark.createDataFrame([(f"h{i}", 0) for i in range(12)], "id string, batch int")
+    found = plan.categorise(spark, root, work, batches=given)
+    assert found.count() == 12
+    # A join by category would take all texts of a category through one task.
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert joins and "Inner" in joins[0]
