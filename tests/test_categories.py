@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gitloom.operators import categories as ct
 from gitloom.operators import disagreement as ds
+from checks import categories as category_checks
 from gitloom.operators.batches import batch_count, kmeans_batches
 from gitloom.operators.far_pairs import far_pairs
 from gitloom.operators.inference import Model
@@ -201,3 +202,14 @@ def test_texts_do_not_meet_rare_categories(spark):
     # A join by category would take all texts of a category through one task.
     joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
     assert joins and "Inner" in joins[0]
+
+
+def test_bigrams_are_sorted_in_tasks_of_few_texts(spark, monkeypatch, tmp_path):
+    rows = [(i, f"one two three{i % 3}") for i in range(40)] + [(40, None), (0, "one two")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    whole = sorted(map(tuple, category_checks.bigram_rows(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(category_checks, "TEXTS_PER_TASK", 5)
+    split = category_checks.bigram_rows(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in split._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, split.collect())) == whole
+    assert whole[0] == (0, 3, "one two", "two three0") and len(whole) == 40
