@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import md5
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,34 +33,28 @@ class Embedder:
     vector: Callable[[Column], Column] | None = None
 
 
-def _word_counts(text: Column) -> Column:
-    """Hashed word counts, scaled to unit length; the lists in between are made once."""
-
-    def bucket(token: Column) -> Column:
-        digits = F.conv(F.substring(F.md5(token.cast("binary")), 1, 4), 16, 10)
-        return F.pmod(digits.cast("int"), F.lit(STUB_DIMENSIONS))
-
-    def counted(buckets: Column) -> Column:
-        slots = F.sequence(F.lit(0), F.lit(STUB_DIMENSIONS - 1))
-        return F.transform(
-            slots, lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double")
-        )
-
-    def scaled(counts: Column) -> Column:
-        total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x)
-        lengths = F.transform(F.array(F.sqrt(total)), lambda n: F.when(n == 0, 1.0).otherwise(n))
-        return F.element_at(
-            F.transform(lengths, lambda n: F.transform(counts, lambda x: (x / n).cast("float"))), 1
-        )
-
-    value = F.transform(F.split(text, "[ \n]+"), bucket)
-    for step in (counted, scaled):
-        value = F.element_at(F.transform(F.array(value), step), 1)
-    return value
+@F.arrow_udf(returnType=T.ArrayType(T.FloatType()))
+def _word_counts(text: pa.Array) -> pa.Array:
+    """Hashed word counts, scaled to unit length; each different word of a batch is hashed once."""
+    text = pc.replace_substring(text, "\n", " ")
+    while pc.any(pc.match_substring(text, "  ")).as_py():
+        text = pc.replace_substring(text, "  ", " ")
+    words = pc.split_pattern(text, " ")
+    coded = words.flatten().dictionary_encode()
+    slot = np.array([md5(w.encode()).digest()[1] % STUB_DIMENSIONS for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    row = np.repeat(np.arange(len(words)), pc.fill_null(pc.list_value_length(words), 0).to_numpy())
+    place = row * STUB_DIMENSIONS + slot[coded.indices.to_numpy()]
+    counts = np.bincount(place, minlength=len(words) * STUB_DIMENSIONS).reshape(-1, STUB_DIMENSIONS)
+    lengths = np.sqrt((counts * counts).sum(1, keepdims=True))
+    scaled = (counts / np.where(lengths == 0, 1.0, lengths)).astype(np.float32).ravel()
+    # A missing text has a vector of missing numbers.
+    missing = np.repeat(words.is_null().to_numpy(zero_copy_only=False), STUB_DIMENSIONS)
+    ends = np.arange(0, len(scaled) + 1, STUB_DIMENSIONS, dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(scaled, mask=missing))
 
 
 def stub_embedder() -> Embedder:
-    """Offline stand-in: hashed word counts as built-in expressions."""
+    """Offline stand-in: hashed word counts."""
     return Embedder("stub", vector=_word_counts)
 
 

@@ -2,12 +2,16 @@
 
 import math
 import pathlib
+import re
+from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gitloom.operators import clusters as cl
+from gitloom.operators import documents
 from gitloom.operators.documents import (
     Embedder,
     embed_column,
@@ -230,3 +234,19 @@ def test_appends_merge_their_folders(spark, monkeypatch):
         store.append_new(_many(spark, [n]), root)
         assert len(store._manifest(spark, root)["folders"]) <= 3
     assert stored(spark, root) == {f"i{n}": f"d{n}" for n in range(6)}
+
+
+def test_offline_embedder_hashes_a_word_once(spark, monkeypatch):
+    hashed = []
+    monkeypatch.setattr(documents, "md5", lambda word: hashed.append(word) or md5(word))
+    texts = ["a b  a\n\nc", "", None, " c a ", "\u00e9 b"]
+    got = documents._word_counts.func(pa.array(texts, pa.string())).to_pylist()
+    for text, vector in zip(texts, got, strict=True):
+        if text is None:
+            assert vector == [None] * 64
+            continue
+        counts = np.zeros(64)
+        for word in re.split("[ \n]+", text):
+            counts[int(md5(word.encode()).hexdigest()[:4], 16) % 64] += 1
+        assert vector == (counts / np.sqrt((counts**2).sum())).astype(np.float32).tolist()
+    assert len(hashed) == len(set(hashed)) == 5
