@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from checks import common as c
@@ -15,6 +17,9 @@ from gitloom.sources import collection as store
 from gitloom.sources.tables import read_summaries
 from gitloom.streaming.incremental import stream_summaries
 
+#: Rows of a file of the stream's source, about.
+ROWS_PER_FILE = 20_000
+
 
 def valid(spark, sf):
     return dc.valid_summaries(c.summaries(spark, sf)).select(
@@ -144,10 +149,13 @@ def streamed(spark, sf):
     """All documents through the streaming front-end, read as a stream of files."""
     root, state = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     source = scratch_path(spark, "stream-source")
-    c.summaries(spark, sf).repartition(4, "commit_hash").write.parquet(source)
+    rows = c.summaries(spark, sf)
+    # Two batches; a commit is in one file.
+    files = max(4, 2 * math.ceil(rows.count() / (2 * ROWS_PER_FILE)))
+    rows.repartition(files, "commit_hash").write.parquet(source)
     schema = spark.read.parquet(source).schema
     stream_summaries(
-        spark, source, root, state, schema, files_per_batch=2, order=["ord"]
+        spark, source, root, state, schema, files_per_batch=files // 2, order=["ord"]
     ).awaitTermination()
     return store.read_collection(spark, root).select("id", F.md5("document").alias("document_md5"))
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import collection as collection_checks
 from gitloom.operators import clusters as cl
 from gitloom.operators import documents
 from gitloom.operators.documents import (
@@ -250,3 +251,15 @@ def test_offline_embedder_hashes_a_word_once(spark, monkeypatch):
             counts[int(md5(word.encode()).hexdigest()[:4], 16) % 64] += 1
         assert vector == (counts / np.sqrt((counts**2).sum())).astype(np.float32).tolist()
     assert len(hashed) == len(set(hashed)) == 5
+
+
+def test_stream_source_grows_by_files(spark, monkeypatch, tmp_path):
+    rows = [(i, f"text {i}", "src1", "en") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = []
+    monkeypatch.setattr(collection_checks, "stream_summaries", lambda *args, **more: made.append((args[1], more)) or stream_summaries(*args, **more))
+    whole = sorted(map(tuple, collection_checks.streamed(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(collection_checks, "ROWS_PER_FILE", 5)
+    assert sorted(map(tuple, collection_checks.streamed(spark, str(tmp_path)).collect())) == whole
+    counts = [more["files_per_batch"] for _, more in made]
+    assert counts[0] == 2 and counts[1] == 8
