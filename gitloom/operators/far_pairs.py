@@ -8,6 +8,7 @@ best possible distance stays below it are never formed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gitloom.functions.text import bigram_set
 from gitloom.operators.disagreement import TOP_PAIRS
-from gitloom.operators.neighbours import small_arrow_batches, tiled
+from gitloom.operators.neighbours import TILE_BLOCKS, small_arrow_batches, tiled
 from gitloom.operators.ordering import ordered_prefix
 from gitloom.session import cut
 
@@ -158,6 +159,7 @@ def far_pairs(
         ordered = pd.concat(found).sort_values(["distance", "i", "j"], ascending=[False, True, True])
         return ordered.head(k)
 
-    work = tiled(blocks.count(), pairs.select("a", "b"), a_side, b_side, compare_tile, _PAIR)
+    tiles = max(1, math.ceil(blocks.count() / TILE_BLOCKS))
+    work = tiled(tiles, pairs.select("a", "b"), a_side, b_side, compare_tile, _PAIR)
     rest = cut(report(work), "pairs")
     return report(first.unionByName(rest))
