@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gitloom.functions.text import bigram_set, bigrams, let
 from gitloom.functions.vectors import set_cosine_distance, set_euclidean_distance
-from gitloom.operators.ordering import keep_first, ordered_prefix
+from gitloom.operators.ordering import keep_first
 from gitloom.session import cut
 
 # --- fixed values ---
@@ -27,26 +31,64 @@ def bigram_terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(id_col, F.explode(bigram_set(F.col(text_col))).alias("bigram"))
 
 
-def vocabulary(terms: DataFrame) -> DataFrame:
-    """``bigram, term``: every different bigram and its place, from 0, in their order."""
-    listed = terms.select(F.lit(0).alias("__all"), "bigram").distinct()
-    ranked = ordered_prefix(listed, ["__all"], ["bigram"], None, "__n")
-    return ranked.select("bigram", (F.col("__n") - 1).alias("term"))
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows ``__id, bigram, __part`` with the place of their bigram among the different
+    ones of the partition. ``bigram`` stays in its first row only; a last row has the number of
+    places, the first bigram and in ``__last`` the last one."""
+    first, last, place = None, None, -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found, part = batch.column("bigram"), batch.column("__part")
+        begins = np.ones(len(found), dtype=bool)
+        begins[0] = last is None or found[0].as_py() != last
+        begins[1:] = pc.not_equal(found[1:], found[:-1]).to_numpy(zero_copy_only=False)
+        first, last = found[0].as_py() if first is None else first, found[-1].as_py()
+        places = place + np.cumsum(begins)
+        place = int(places[-1])
+        heads = pc.if_else(pa.array(begins), found, pa.scalar(None, found.type))
+        none = pa.nulls(len(found), found.type)
+        columns = [batch.column("__id"), part, pa.array(places, pa.int64()), heads, none]
+        yield pa.RecordBatch.from_arrays(columns, names=_PLACED)
+        ends = [pa.nulls(1, columns[0].type), part[:1], pa.array([place + 1], pa.int64())]
+    if last is not None:
+        yield pa.RecordBatch.from_arrays([*ends, pa.array([first], found.type), pa.array([last], found.type)], names=_PLACED)
+
+
+_PLACED = ["__id", "__part", "__place", "bigram", "__last"]
 
 
 def sparse_terms(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Sparse 0/1 vectors ``id, terms`` (the places of a text's bigrams, ascending) and the
-    vocabulary, both as tables: neither has a bound on the number of terms.
+    vocabulary ``bigram, term`` (every different bigram and its place, from 0, in their order),
+    both as tables: neither has a bound on the number of terms.
 
-    A text without bigrams has an empty vector. Rows with one id are one vector.
+    A text without bigrams has an empty vector. Rows with one id are one vector. Bigrams are
+    dealt and sorted as texts once, by ranges, and get their places there; a range may
+    end within the rows of one bigram, so frequent ones spread.
     """
-    terms = cut(bigram_terms(df, id_col, text_col), "terms")
-    words = cut(vocabulary(terms), "vocabulary")
-    coded = terms.join(words, "bigram").groupBy(id_col).agg(F.sort_array(F.collect_set("term")).alias("__terms"))
-    ids = df.select(F.col(id_col).alias("__id")).distinct()
-    placed = ids.join(coded, F.col("__id").eqNullSafe(F.col(id_col)), "left")
-    empty = F.array().cast("array<bigint>")
-    return placed.select(F.col("__id").alias(id_col), F.coalesce("__terms", empty).alias("terms")), words
+    ids = df.select(F.col(id_col).alias("__id"))
+    listed = cut(bigram_terms(df.withColumnRenamed(id_col, "__id"), "__id", text_col), "terms")
+    ranged = listed.repartitionByRange("bigram", "__id").sortWithinPartitions("bigram")
+    kinds = T.StructType([ids.schema["__id"]]).add("__part", T.IntegerType()).add("__place", T.LongType())
+    kinds = kinds.add("bigram", T.StringType()).add("__last", T.StringType())
+    placed = cut(ranged.withColumn("__part", F.spark_partition_id()).mapInArrow(_places, kinds), "placed")
+    # One row for each range: as many as Spark is told to make partitions.
+    order = Window.orderBy("__part")
+    ranges = placed.where("__last is not null").select(
+        "__part", F.col("__place").alias("__n"),
+        F.coalesce(F.col("bigram") == F.lag("__last").over(order), F.lit(False)).alias("__goes_on"),
+    )
+    shared = F.sum(F.col("__goes_on").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.coalesce(F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(ranges.select("__part", "__goes_on", (before - shared).alias("__before")))
+    coded = placed.where("__last is null").join(starts, "__part").withColumn("term", F.col("__before") + F.col("__place"))
+    again = F.col("__goes_on") & (F.col("__place") == 0)
+    words = coded.where(F.col("bigram").isNotNull() & ~again).select("bigram", "term")
+    # Every id comes along once more without a term, so that empty texts have their vectors.
+    every = coded.select("__id", "term").unionByName(ids.withColumn("term", F.lit(None).cast("long")))
+    terms = F.sort_array(F.array_distinct(F.collect_list("term"))).alias("terms")
+    return every.groupBy("__id").agg(terms).withColumnRenamed("__id", id_col), words
 
 
 def sparse_distances(left: Column, right: Column) -> tuple[Column, Column]:

@@ -125,6 +125,31 @@ def test_sparse_terms_equal_the_sets(spark):
     assert got == {i: sorted(listed[b] for b in found) for i, found in expected.items()}
 
 
+def test_places_go_on_over_ranges(spark):
+    """Bigrams meet their places where they are sorted, not in a join; one may fill several ranges."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    texts = [(i, "the same") for i in range(300)] + [(i, f"a{i} the same z{i % 7}") for i in range(300, 340)]
+    texts += [(None, "the same"), (None, "b c dd ee"), (340, None), (301, "the same")]
+    df = spark.createDataFrame(texts, "id int, text string").repartition(4)
+    spark.conf.set(name, "false")
+    try:
+        vectors, words = ds.sparse_terms(df, "id", "text")
+        listed = {r.bigram: r.term for r in words.collect()}
+        got = {r.id: r.terms for r in vectors.collect()}
+    finally:
+        spark.conf.unset(name)
+    sets = {i: set() for i, _ in texts}
+    for i, text in texts:
+        found = [w for w in (text or "").split() if len(w) > 1]
+        sets[i] |= {f"{a} {b}" for a, b in zip(found, found[1:])}
+    assert listed == {b: n for n, b in enumerate(sorted(set().union(*sets.values())))} and words.count() == len(listed)
+    assert got == {i: sorted(listed[b] for b in found) for i, found in sets.items()} and vectors.count() == len(sets)
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join" in line and "bigram" in line for line in plan.splitlines())
+    nothing, none = ds.sparse_terms(df.where("id = 340"), "id", "text")
+    assert none.count() == 0 and [r.terms for r in nothing.collect()] == [[]]
+
+
 def test_run_pairs_meet_as_texts(spark):
     """One row a commit: no join of bigram sets, and the text is carried once where it is the order."""
     rows = [("c1", "a", "x y z"), ("c1", "a", "w w w"), ("c1", "b", "aa bb cc"), ("c1", "c", "bb cc dd"), ("c2", "a", "aa bb"), ("c2", "b", None)]
