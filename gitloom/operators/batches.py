@@ -72,16 +72,15 @@ def _moved(space: Space, near: DataFrame, centres: DataFrame) -> DataFrame:
     parts = rows.select("seed", "c", "mult", "flat").mapInArrow(
         add_up, "seed long, c long, vec array<double>, n double, inner double"
     )
-    # The old centres come along without weight, which saves a join.
-    none = F.lit(0.0)
-    old = centres.select("seed", "c", "vec", none.alias("n"), none.alias("inner"), F.col("vec").alias("old"))
+    # A mean without weight is an error in Spark: the old centres join what has points.
     mean = Summarizer.mean(array_to_vector("vec"), F.col("n"))
-    found = parts.withColumn("old", F.lit(None).cast("array<double>")).unionByName(old).groupBy("seed", "c").agg(
-        vector_to_array(mean).alias("vec"), F.sum("n").alias("n"), F.sum("inner").alias("inner"),
-        F.first("old", ignorenulls=True).alias("old"),
+    sums = parts.groupBy("seed", "c").agg(
+        vector_to_array(mean).alias("vec"), F.sum("n").alias("n"), F.sum("inner").alias("inner")
     )
+    found = sums.join(centres.select("seed", "c", F.col("vec").alias("old")), ["seed", "c"])
+    none = F.lit(0.0)
     length = F.aggregate("vec", none, lambda total, x: total + x * x)
-    return found.where("n > 0").select(
+    return found.select(
         "seed", "c", "vec",
         F.greatest(F.col("inner") - F.col("n") * length, none).alias("cost"),
         F.sqrt(_gap("vec", "old")).alias("shift"),

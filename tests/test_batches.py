@@ -108,6 +108,16 @@ def test_batches_are_settled_and_cost_little(spark, block_rows):
     assert d.min(1).sum() <= 1.05 * truth
 
 
+def test_a_centre_without_points_has_no_row(spark):
+    df = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(10)], "id long, embedding array<double>")
+    space = build_space(df, "id", "embedding", listed=False)
+    rows = [(42, 1, [1.0, 0.0]), (42, 2, [8.0, 0.0]), (42, 3, [500.0, 0.0])]
+    centres = in_cells(spark.createDataFrame(rows, "seed long, c long, vec array<double>"), space).localCheckpoint()
+    near = assign(space, centres, reached(centres, space))
+    moved = {r.c: (r.vec, r.cost, r.shift) for r in bt._moved(space, near, centres).collect()}
+    assert moved == {1: ([2.0, 0.0], 10.0, 1.0), 2: ([7.0, 0.0], 10.0, 1.0)}
+
+
 def test_no_join_without_keys(spark):
     _, rows = planted(200)
     space = build_space(frame(spark, rows), "id", "embedding", block_rows=32)
