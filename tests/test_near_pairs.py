@@ -1,6 +1,8 @@
 """Similar pairs, names merged without a model, and sparse terms, next to plain Python."""
 
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from gitloom.operators import categories as ct
 from gitloom.operators import disagreement as ds
 from gitloom.operators import near_pairs
 from gitloom.operators.near_pairs import pairs_without_common, similar_pairs
+from gitloom.session import cut
 
 
 def _sets():
@@ -160,3 +163,60 @@ def test_run_pairs_meet_as_texts(spark):
     assert got == {("c1", "a", "b"): None, ("c1", "a", "c"): None, ("c1", "b", "c"): 0.5, ("c2", "a", "b"): None, ("c4", "a", "b"): 0.0}
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "min_by" not in plan
+
+
+def test_pairs_meet_their_sets_in_turns(spark, monkeypatch):
+    """What is sent along with the pairs is bounded; turns and parts give the same rows."""
+    df = spark.createDataFrame(list(_sets().items()), "id long, items array<string>").repartition(3)
+    wanted = {tuple(r) for r in similar_pairs(df, 50).collect()}
+    compared, turns = near_pairs._compared, []
+    monkeypatch.setattr(near_pairs, "_compared", lambda met, *rest: turns.append(met.count()) or compared(met, *rest))
+    monkeypatch.setattr(near_pairs, "SENT_ENTRIES", 1200)
+    monkeypatch.setattr(near_pairs, "SENT_TIMES", 0)
+    monkeypatch.setattr(near_pairs, "PASSES", 2)
+    found = [tuple(r) for r in similar_pairs(df, 50).collect()]
+    assert set(found) == wanted and len(found) == len(wanted)
+    assert len(turns) > 1 and max(turns) < sum(turns)
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """What a stored table was shuffled by is not on disk while the next one is made."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in folders for f in Path(d.getPath()).glob("*/shuffle_*.data")}
+
+    before = files()
+    stored = cut(spark.range(1000).groupBy("id").count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert stored.count() == 1000
+
+
+def test_copies_and_rows_without_id_are_classes(spark):
+    rows = [(1, ["x", "y"]), (2, ["y", "x"]), (None, ["y", "x"]), (None, ["x", "z"]), (5, ["p", "q"]), (5, ["q", "p"])]
+    df = spark.createDataFrame(rows, "id long, items array<string>")
+    assert tuple(pairs_without_common(df).first()) == (3, 3, 1)
+    assert {tuple(r) for r in similar_pairs(df, 50).collect()} == set()
+    more = df.unionByName(spark.createDataFrame([(7, ["x", "z", None])], df.schema))
+    assert {tuple(r) for r in similar_pairs(more, 50).collect()} == {(1, 7, 1, 2, 2, 3, 2)}
+
+
+def test_large_blocks_are_looked_up_in_parts(spark, monkeypatch):
+    """A task holds two blocks, and of the rest only what two parts of them need."""
+    rng = np.random.RandomState(6)
+    sets = [np.unique(rng.randint(0, 2000, rng.randint(1, 60))) for _ in range(700)]
+    block = np.cumsum([len(x) for x in sets]), np.concatenate(sets)
+    common = sum(bool(np.intersect1d(x, y).size) for x in sets for y in sets)
+    lookup, seen = near_pairs._lookup, []
+    monkeypatch.setattr(near_pairs, "_lookup", lambda ends, codes: seen.append(len(codes)) or lookup(ends, codes))
+    monkeypatch.setattr(near_pairs, "PART_ENTRIES", 500)
+    assert near_pairs.count_common(*block, *block) == common
+    assert max(seen) <= 500 and sum(seen) == len(block[1])
+    # Small inputs use the cores, large ones keep to the size of a block.
+    assert near_pairs.block_count(100, 12, 1 << 24) == 1
+    assert near_pairs.block_count(10 << 20, 12, 1 << 24) == 7
+    assert near_pairs.block_count(1 << 30, 12, 1 << 24) == 64
