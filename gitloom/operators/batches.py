@@ -52,7 +52,6 @@ def _moved(space: Space, near: DataFrame, centres: DataFrame) -> DataFrame:
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {"seed": [], "c": [], "vec": [], "n": [], "inner": []}
             for i in range(batch.num_rows):
                 w = values(batch.column("mult"), i).astype(float)
                 x = values(batch.column("flat"), i).reshape(-1, dim)
@@ -61,13 +60,15 @@ def _moved(space: Space, near: DataFrame, centres: DataFrame) -> DataFrame:
                 sums = np.zeros((len(names), dim))
                 np.add.at(sums, at, x * w[:, None])
                 inner = np.bincount(at, w * (x * x).sum(1), len(names))
-                out["seed"] += [batch.column("seed")[i].as_py()] * len(names)
-                for name, column in (("c", names), ("vec", sums / n[:, None]), ("n", n), ("inner", inner)):
-                    out[name] += column.tolist()
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
+                # One row at a time, and straight from NumPy: as lists, sums take many times their size.
+                ends = pa.array(np.arange(len(names) + 1, dtype=np.int32) * dim)
+                means = pa.ListArray.from_arrays(ends, pa.array((sums / n[:, None]).ravel()))
+                seed = pa.array(np.full(len(names), batch.column("seed")[i].as_py()), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [seed, pa.array(names, pa.int64()), means, pa.array(n), pa.array(inner)],
+                    names=["seed", "c", "vec", "n", "inner"],
+                )
 
-    real = pa.float64()
-    kinds = {"seed": pa.int64(), "c": pa.int64(), "vec": pa.list_(real), "n": real, "inner": real}
     rows = near.select("blk", "seed", "c").join(space.blocks.select("blk", "mult", "flat"), "blk")
     parts = rows.select("seed", "c", "mult", "flat").mapInArrow(
         add_up, "seed long, c long, vec array<double>, n double, inner double"

@@ -13,7 +13,8 @@ driver holds is one range of distances for each seed and cell, of which there ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gitloom.operators.neighbours import Space, exact, slack, squared
+from gitloom.operators.neighbours import BLOCK_BYTES, TILE_BLOCKS, Space, exact, slack, squared
 from gitloom.session import cut
 
 # Centres of one row: two to this power.
@@ -138,40 +139,81 @@ def _opened(
     return asked.mapInArrow(bound, "blk long, seed long, cell long, " + _MET.split("seed long, ")[1])
 
 
+def _grid(space: Space) -> tuple[int, int]:
+    """Groups of blocks, one for each core unless one would be too large, and of cells of centres."""
+    full = 8 * space.n * space.dim / (TILE_BLOCKS * BLOCK_BYTES)
+    cores = space.blocks.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(space.n_blocks, cores), math.ceil(full)), max(1, math.ceil(full / 4))
+
+
 def _visited(space: Space, opened: DataFrame, centres: DataFrame) -> DataFrame:
     """``blk, seed, met``: the bounds of a block, which alone have ``mult``, and the nearest
-    centre with its distance and the next distance in each row of centres it visits."""
-    dim = space.dim
+    centre with its distance and the next distance among the centres it visits.
+
+    Groups of blocks meet the centres of one seed in tiles, so a block or a centre is sent
+    once to a tile and not once for each pair of a block and a cell.
+    """
+    dim, (groups, columns) = space.dim, _grid(space)
     held = F.sort_array(F.collect_list(F.struct("c", "vec")))
     sent = (
         centres.groupBy("seed", "cell", F.shiftright("c", CENTRE_BITS).alias("part"))
         .agg(held.alias("rows"))
-        .select("seed", F.col("cell").cast("long").alias("cell"), F.col("rows.c").alias("cs"), F.flatten("rows.vec").alias("cflat"))
+        .select(
+            "seed", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("row"),
+            F.pmod("cell", F.lit(columns)).cast("int").alias("column"), F.col("cell").cast("long").alias("cell"),
+            F.col("rows.c").alias("cs"), F.flatten("rows.vec").alias("cflat"),
+        )
     )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = {name: [] for name in ("blk", "seed", "c", "near", "next", "mult")}
-            for i in range(batch.num_rows):
-                if batch.column("mult")[i].is_valid:
-                    for name in out:
-                        out[name].append(batch.column(name)[i].as_py())
-                    continue
-                names = values(batch.column("cs"), i).astype("<i8")
-                y = values(batch.column("cflat"), i).reshape(-1, dim)
-                d = np.sqrt(squared(values(batch.column("flat"), i).reshape(-1, dim), y))
+    def compare(key, asked: pa.Table, given: pa.Table) -> pa.Table:
+        parts, cells, out = {}, {}, {name: [] for name in ("blk", "seed", "c", "near", "next", "mult")}
+        given, asked = given.combine_chunks(), asked.combine_chunks()
+        for i, cell in enumerate(given.column("cell").to_pylist()):
+            y = values(given.column("cflat"), i).reshape(-1, dim)
+            parts.setdefault(cell, []).append((values(given.column("cs"), i).astype("<i8"), y))
+        listed = list(zip(asked.column("blk").to_pylist(), asked.column("cell").to_pylist(), strict=True))
+        for blk, cell in listed:
+            if cell >= 0:
+                cells.setdefault(blk, []).append(cell)
+        for i, (blk, cell) in enumerate(listed):
+            if cell >= 0:
+                continue
+            if asked.column("mult")[i].is_valid:
+                for name in out:
+                    out[name].append(asked.column(name)[i].as_py())
+            if blk not in cells:
+                continue
+            x = values(asked.column("flat"), i).reshape(-1, dim)
+            rows = np.arange(len(x))
+            c, near, other = np.full(len(x), NOT_KNOWN, "<i8"), np.full(len(x), np.inf), np.full(len(x), np.inf)
+            for names, y in (part for cell in cells[blk] for part in parts.get(cell, ())):
+                d = np.sqrt(squared(x, y))
                 at = d.argmin(1)
-                best = d[np.arange(len(d)), at]
+                best = d[rows, at]
                 second = np.partition(d, 1, axis=1)[:, 1] if len(names) > 1 else np.full(len(d), np.inf)
-                out["blk"].append(batch.column("blk")[i].as_py())
-                out["seed"].append(batch.column("seed")[i].as_py())
-                for name, found in (("c", names[at]), ("near", best), ("next", second)):
-                    out[name].append(found.tobytes())
-                out["mult"].append(None)
-            yield _batch(out)
-
-    pairs = opened.join(sent, ["seed", "cell"], "left").join(space.blocks.select("blk", "flat"), "blk")
-    compared = pairs.drop("cell").mapInArrow(compare, _MET)
+                better = (best < near) | (best == near) & (names[at] < c)
+                other = np.minimum(other, np.minimum(np.where(better, near, best), second))
+                near, c = np.where(better, best, near), np.where(better, names[at], c)
+            out["blk"].append(blk)
+            out["seed"].append(key[0].as_py())
+            for name, found in (("c", c), ("near", near), ("next", other)):
+                out[name].append(found.tobytes())
+            out["mult"].append(None)
+        return pa.table({k: pa.array(v, _KINDS[k]) for k, v in out.items()})
+
+    # Only the row with the bounds takes the vectors of the block along.
+    own = F.when(F.col("cell") < 0, F.col("blk")).otherwise(-1 - F.col("blk"))
+    payload = space.blocks.select(F.col("blk").alias("own"), "flat")
+    column = F.when(F.col("cell") < 0, F.sequence(F.lit(0), F.lit(columns - 1))).otherwise(
+        F.array(F.pmod("cell", F.lit(columns)).cast("int"))
+    )
+    asked = opened.withColumn("own", own).join(payload, "own", "left").select(
+        "seed", F.pmod(F.xxhash64("blk"), F.lit(groups)).cast("int").alias("row"), F.explode(column).alias("column"),
+        "blk", "cell", "c", "near", "next", "mult", "flat",
+    )
+    asked = asked.withColumn("mult", F.when((F.col("column") == 0), F.col("mult")))
+    tile = ["seed", "row", "column"]
+    compared = asked.groupBy(*tile).cogroup(sent.groupBy(*tile)).applyInArrow(compare, _MET)
     return compared.groupBy("blk", "seed").agg(F.collect_list(F.struct("c", "near", "next", "mult")).alias("met"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gitloom.operators import batches as bt
-from gitloom.operators import seeding
+from gitloom.operators import nearest, seeding
 from gitloom.operators.nearest import assign, in_cells, reached, _opened
 from gitloom.operators.neighbours import build_space
 
@@ -137,3 +137,31 @@ def test_copies_weigh_and_empty_input(spark):
     assert len(got) == 91 and got.nunique() == 3
     assert (got.loc[range(90)] != got.loc[100]).any()
     assert bt.kmeans_batches(frame(spark, rows).limit(0)).isEmpty()
+
+
+def test_blocks_meet_centres_in_tiles(spark, monkeypatch):
+    """One result of a tile for a block, not one for each cell it opens; any grid gives the same."""
+    rng = np.random.RandomState(9)
+    x = rng.randn(700, 5)  # without structure: most cells stay open
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    space = build_space(df, "id", "embedding", block_rows=32, listed=False)
+    rows = [(s, c, (x[i] + 0.1).tolist()) for s in (1, 2) for c, i in enumerate(rng.choice(700, 40, False), 1)]
+    centres = in_cells(spark.createDataFrame(rows, "seed long, c long, vec array<double>"), space).localCheckpoint()
+    at, got = reached(centres, space), []
+    for grid in ((1, 1), (3, 2)):
+        monkeypatch.setattr(nearest, "_grid", lambda space, grid=grid: grid)
+        opened = _opened(space, None, at, {}, False)
+        assert opened.where("cell >= 0").groupBy("blk", "seed").count().agg(F.max("count")).first()[0] > 3
+        met = nearest._visited(space, opened, centres).select(F.max(F.size("met"))).first()[0]
+        assert met == 1 + grid[1]
+        near = assign(space, centres, at)
+        got.append({s: unpacked(near, space, s) for s in (1, 2)})
+    assert got[0] == got[1]
+    vectors = vectors_of(space)
+    for s in (1, 2):
+        y = {c: np.array(v) for t, c, v in rows if t == s}
+        for i, v in vectors.items():
+            d = np.sort([np.linalg.norm(v - w) for w in y.values()])
+            c, near, other = got[0][s][i]
+            assert np.linalg.norm(v - y[c]) <= d[0] + 1e-9
+            assert abs(near - d[0]) < 1e-6 and other <= d[1] + 1e-6
